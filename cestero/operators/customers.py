@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cestero.functions import day, interval_tier, rfm_segment, spread
-from cestero.operators.ranking import exact_ntile
+from cestero.operators.ranking import exact_ntiles
 
 # Most rows written by one task for repeats on the same day.
 _REPEATS_PER_TASK_ROW = 100_000
@@ -175,14 +175,14 @@ def rfm_segmentation(
     else:
         until = F.lit(str(reference_date)).cast("date")
     # The order of recency is that of the last day, reversed.
-    recency_tile = exact_ntile(customers, -F.unix_date("last"), "customer_id")
-    frequency_tile = exact_ntile(customers, -F.col("frequency"), "customer_id")
-    scored = customers.select(
+    order = {"by_recency": -F.unix_date("last"), "by_frequency": -F.col("frequency")}
+    by_frequency = F.col("by_frequency")
+    scored = exact_ntiles(customers, order, "customer_id").select(
         "customer_id",
         "frequency",
         F.date_diff(until, "last").alias("recency"),
-        (5 - recency_tile).alias("R_score"),
-        (5 - frequency_tile if invert_frequency else frequency_tile).alias("F_score"),
+        (5 - F.col("by_recency")).alias("R_score"),
+        (5 - by_frequency if invert_frequency else by_frequency).alias("F_score"),
     )
     return scored.withColumn("RFM_segment", rfm_segment(F.col("R_score"), F.col("F_score")))
 

@@ -27,13 +27,14 @@ def unknown_categories(product_categories: DataFrame, categories: DataFrame) ->
     return (
         product_categories.groupBy("category_id")
         .agg(F.count_distinct("product_id").alias("num_products"))
-        .join(categories.select("category_id"), "category_id", "left_anti")
+        .join(categories.select("category_id").distinct(), "category_id", "left_anti")
     )
 
 
 def uncategorised_products(product_counts: DataFrame, product_categories: DataFrame) -> DataFrame:
     """Products sold, given with their units, that are in no category."""
-    return product_counts.join(product_categories.select("product_id"), "product_id", "left_anti")
+    known = product_categories.select("product_id").distinct()
+    return product_counts.join(known, "product_id", "left_anti")
 
 
 def transaction_quality(tx: DataFrame, id_type: str = "int") -> DataFrame:

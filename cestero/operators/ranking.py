@@ -5,12 +5,14 @@ needs, though, are the ``tiles - 1`` rows at which one tile ends. They are found
 by descending through a histogram: first over the ranked value, then, inside the
 few values where a tile ends, over the leading bits of the key, and then over
 the bits after those. Each step counts in parallel, keeps a running total over
-the small histogram and hands on at most ``tiles - 1`` cells. Every row is then
-compared with the cut rows and never shuffled.
+the small histogram and hands on one cell per tile. Every row is then compared
+with the cut rows and never shuffled. Several values rank in one go.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,69 +28,73 @@ def _ordinal(column: Column) -> Column:
     return F.coalesce(column.cast("bigint"), F.lit(_BEFORE_ALL))
 
 
-def tile_cuts(rows: DataFrame, value: Column, key: str, tiles: int) -> DataFrame:
-    """One row ``(cuts)``: the last (value, key) of each tile but the last."""
+def _cells_at_ranks(cells: DataFrame, parts: list[str]) -> DataFrame:
+    """For every tile the cell that holds its last rank, counted from the start
+    of that cell. ``cells`` has the parts of a cell and its number of rows.
+    """
+    in_order = Window.partitionBy("by", "tile").orderBy(parts[-1])
+    running = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.col("upto") - F.col("n")
+    return (
+        cells.select("*", running.alias("upto"))
+        .where((F.col("rank") > before) & (F.col("rank") <= F.col("upto")))
+        .select("by", "tile", (F.col("rank") - before).alias("rank"), *parts)
+    )
+
+
+def tile_cuts(rows: DataFrame, values: list[Column], key: str, tiles: int) -> DataFrame:
+    """One row with an array ``cuts``: the last (value, key) of every tile but
+    the last one, for the first value, then for the second, and so on.
+    """
     ordinal = _ordinal(F.col(key))
     shifts = _KEY_SHIFTS.get(rows.schema[key].dataType.simpleString(), _KEY_SHIFTS["bigint"])
-    parts = [_ordinal(value)] + [F.shiftright(ordinal, s) for s in shifts]
-    parts = [part.alias(f"part{i}") for i, part in enumerate(parts)]
-
-    cells = rows.select(parts[0]).groupBy("part0").agg(F.count("*").alias("n"))
-    # One task, one row per different value: calendar days, or purchase counts,
-    # of which T receipts allow at most sqrt(2 T).
-    everything = Window.partitionBy()
-    running = Window.orderBy("part0").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("n").over(everything)
+    key_parts = [F.shiftright(ordinal, s).alias(f"part{i}") for i, s in enumerate(shifts, 1)]
+    parts = [f"part{i}" for i in range(len(shifts) + 1)]
+    ranked = F.posexplode(F.array(*(_ordinal(v) for v in values))).alias("by", "part0")
+
+    # One row per different value, of which each ``by`` and tile has one task:
+    # calendar days, or purchase counts, where T receipts allow sqrt(2 T).
+    total = F.sum("n").over(Window.partitionBy("by"))
     tile = F.explode(F.sequence(F.lit(1), F.lit(tiles - 1)))
-    wanted = (
-        cells.select("*", F.sum("n").over(running).alias("upto"), total.alias("total"))
+    last_rank = F.expr(f"tile * (total div {tiles}) + least(tile, total % {tiles})")
+    cells = (
+        rows.select(ranked)
+        .groupBy("by", "part0")
+        .agg(F.count("*").alias("n"))
+        .select("by", "part0", "n", total.alias("total"))
         .select("*", tile.alias("tile"))
-        .withColumn("rank", F.expr(f"tile * (total div {tiles}) + least(tile, total % {tiles})"))
+        .select("*", last_rank.alias("rank"))
     )
-    wanted = _inside(wanted)
-
+    wanted = _cells_at_ranks(cells, parts[:1])
     for depth in range(1, len(parts)):
-        prefix = [f"part{i}" for i in range(depth)]
-        names = prefix + [f"part{depth}"]
-        targets = wanted.groupBy(*prefix).agg(
-            F.collect_list(F.struct("tile", "rank")).alias("targets")
-        )
-        # At most tiles - 1 rows, hence safe to broadcast at any size of input.
+        # tiles - 1 rows per value, so safe to broadcast for any input.
         cells = (
-            rows.select(*parts[: depth + 1])
-            .join(F.broadcast(targets), prefix)
-            .groupBy(*names)
-            .agg(F.count("*").alias("n"), F.any_value("targets").alias("targets"))
-        )
-        running = (
-            Window.partitionBy(*prefix)
-            .orderBy(names[-1])
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            rows.select(ranked, *key_parts[:depth])
+            .join(F.broadcast(wanted), ["by", *parts[:depth]])
+            .groupBy("by", "tile", "rank", *parts[: depth + 1])
+            .agg(F.count("*").alias("n"))
         )
-        wanted = cells.withColumn("upto", F.sum("n").over(running)).select(
-            *names, "n", "upto", F.inline("targets")
-        )
-        wanted = _inside(wanted)
-
-    last = f"part{len(parts) - 1}"
-    return wanted.agg(F.array_sort(F.collect_list(F.struct("part0", last))).alias("cuts"))
+        wanted = _cells_at_ranks(cells, parts[: depth + 1])
+    cut = F.struct("by", "tile", F.col("part0").alias("value"), F.col(parts[-1]).alias("key"))
+    return wanted.agg(F.sort_array(F.collect_list(cut)).alias("cuts"))
 
 
-def _inside(wanted: DataFrame) -> DataFrame:
-    """Cells that hold a wanted rank, which is then counted from their start."""
-    start = F.col("upto") - F.col("n")
-    return wanted.where((F.col("rank") > start) & (F.col("rank") <= F.col("upto"))).withColumn(
-        "rank", F.col("rank") - start
-    )
-
+def exact_ntiles(
+    rows: DataFrame, values: Mapping[str, Column], key: str, tiles: int = 4
+) -> DataFrame:
+    """``rows`` with ``ntile(tiles)`` by each of ``values``, ties by ``key``.
 
-def exact_ntile(rows: DataFrame, value: Column, key: str, tiles: int = 4) -> Column:
-    """``ntile(tiles)`` over ``rows`` ordered by ``value`` and then ``key``.
-
-    ``value`` is an integer expression, ``key`` the name of an integer column
-    without repeats; NULL comes first in both.
+    A value is an integer expression and gives its name to the new column;
+    ``key`` is an integer column without repeats. NULL comes first in both.
     """
-    cuts = tile_cuts(rows, value, key, tiles).scalar()
-    row = F.struct(_ordinal(value), _ordinal(F.col(key)))
-    passed = [(row > F.get(cuts, F.lit(i))).cast("int") for i in range(tiles - 1)]
-    return sum(passed, F.lit(1))
+    cuts = tile_cuts(rows, list(values.values()), key, tiles).scalar()
+    ordinal = _ordinal(F.col(key))
+    found = []
+    for i, (name, value) in enumerate(values.items()):
+        tile = F.lit(1)
+        for at in range(i * (tiles - 1), (i + 1) * (tiles - 1)):
+            cut = F.get(cuts, F.lit(at))
+            passed = F.struct(_ordinal(value), ordinal) > F.struct(cut["value"], cut["key"])
+            tile = tile + passed.cast("int")
+        found.append(tile.alias(name))
+    return rows.select("*", *found)

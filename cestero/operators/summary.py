@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cestero.functions import basket_units, day, top
@@ -44,21 +44,33 @@ def category_volumes(
 
     A product in several categories counts in each of them; one without any
     falls to (NULL, NULL). Counts add up, so the joins see one row per product
-    and then one row per category instead of one row per line sold. Neither
-    side is forced into a broadcast: Spark decides by their sizes.
+    and then one row per category instead of one row per line sold, and equal
+    rows of the other side come as one row with their number. Neither side is
+    forced into a broadcast: Spark decides by their sizes.
     """
+    bridge = _with_copies(product_categories.select("product_id", "category_id"))
+    names = _with_copies(categories.select("category_id", "category_name"))
     per_category = (
-        product_counts.join(product_categories, "product_id", "left")
+        product_counts.join(bridge, "product_id", "left")
         .groupBy("category_id")
-        .agg(F.sum(measure).alias("total_volume"))
+        .agg(F.sum(F.col(measure) * _copies()).alias("total_volume"))
     )
-    return (
-        per_category.join(categories, "category_id", "left")
-        .groupBy("category_id", "category_name")
-        .agg(F.sum("total_volume").alias("total_volume"))
+    return per_category.join(names, "category_id", "left").select(
+        "category_id",
+        "category_name",
+        (F.col("total_volume") * _copies()).alias("total_volume"),
     )
 
 
+def _with_copies(df: DataFrame) -> DataFrame:
+    return df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+
+
+def _copies() -> Column:
+    """Number of equal rows on the right of a left join, 1 without a match."""
+    return F.coalesce("copies", F.lit(1))
+
+
 def top_categories(
     ex: DataFrame, product_categories: DataFrame, categories: DataFrame, n: int = 10
 ) -> DataFrame:
