@@ -283,6 +283,28 @@ SELECT store_id, transaction_date AS date, count(*) AS num_transacciones FROM tx
     "sample_summary": """
 SELECT transaction_date AS date, count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos
 FROM (SELECT * FROM tx ORDER BY transaction_id LIMIT 5000) GROUP BY 1
+""",
+    "rfm_preview": """
+SELECT * FROM rfm ORDER BY R_score DESC, F_score DESC, customer_id LIMIT 20
+""",
+    "customer_summary": """
+SELECT 'frequency' AS section, count(*) AS num_rows FROM freq
+UNION ALL SELECT 'time_between', count(*) FROM cgap
+UNION ALL SELECT 'rfm', count(*) FROM rfm
+""",
+    "temporal_summary": """
+SELECT 'daily' AS section, count(*) AS num_rows FROM daily
+UNION ALL SELECT 'weekly', count(*) FROM (SELECT DISTINCT year(date), weekofyear(date) FROM daily)
+UNION ALL SELECT 'monthly', count(*) FROM (SELECT DISTINCT year(date), month(date) FROM daily)
+UNION ALL SELECT 'day_of_week', count(DISTINCT dayofweek(date)) FROM daily
+UNION ALL SELECT 'trends', count(*) FROM daily
+""",
+    "product_summary": """
+SELECT 'top_products' AS section, count(*) AS num_rows FROM (SELECT product_id FROM ex GROUP BY 1)
+UNION ALL SELECT 'store_products', count(*) FROM (
+  SELECT row_number() OVER (PARTITION BY store_id ORDER BY count(*) DESC) AS r FROM ex GROUP BY store_id, product_id) WHERE r <= 10
+UNION ALL SELECT 'combinations', count(*) FROM (
+  SELECT trim(products) FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1)
 """,
     "csv_roundtrip": """
 SELECT transaction_date, store_id, customer_id, products FROM tx

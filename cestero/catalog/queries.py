@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,6 +253,25 @@ def rfm_segment_profile(spark, sf_dir):
     return rounded(customers.rfm_segment_profile(rfm), "avg_recency", "avg_frequency")
 
 
+@query
+def rfm_preview(spark, sf_dir):
+    return customers.rfm_preview(customers.rfm_segmentation(receipts(spark, sf_dir)))
+
+
+@query
+def customer_summary(spark, sf_dir):
+    return _sizes(summaries.customer_summary(receipts(spark, sf_dir)))
+
+
+def _sizes(frames: dict[str, DataFrame]) -> DataFrame:
+    """The number of rows of each frame of a summary."""
+    counted = [
+        frame.agg(F.count("*").alias("num_rows")).select(F.lit(name).alias("section"), "num_rows")
+        for name, frame in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- sales over time ---------------------------------------------------------
 
 
@@ -310,6 +330,11 @@ def trend_change(spark, sf_dir):
     return rounded(temporal.trend_change(receipts(spark, sf_dir)), "trend_change")
 
 
+@query
+def temporal_summary(spark, sf_dir):
+    return _sizes(summaries.temporal_summary(receipts(spark, sf_dir)))
+
+
 # --- products and baskets ----------------------------------------------------
 
 
@@ -354,6 +379,15 @@ def multi_item_count(spark, sf_dir):
     return baskets.multi_item_count(receipts_with_baskets(spark, sf_dir))
 
 
+@query
+def product_summary(spark, sf_dir):
+    tx = tables.transactions(spark, sf_dir)
+    ex = baskets.explode_transactions(tx, id_type=ID_TYPE)
+    frames = summaries.product_summary(tx, ex, run_market_basket=False)
+    frames.pop("market_basket")
+    return _sizes(frames)
+
+
 # --- mining ------------------------------------------------------------------
 
 

@@ -27,5 +27,13 @@ def distinct_tokens(products: str = "products") -> Column:
 
 
 def basket_units(products: str = "products", clean: bool = False) -> Column:
-    """Number of tokens; NULL for a NULL basket in every SQL mode."""
-    return F.array_size(basket_tokens(products, clean))
+    """Number of tokens; NULL for a NULL basket in every SQL mode.
+
+    One more than the spaces inside, which are found by length and without
+    cutting the text up.
+    """
+    if clean:
+        return F.array_size(basket_tokens(products, clean=True))
+    text = trimmed(products)
+    without_spaces = F.replace(text, F.lit(" "), F.lit(""))
+    return F.octet_length(text) - F.octet_length(without_spaces) + 1

@@ -197,3 +197,8 @@ def rfm_segment_profile(rfm: DataFrame) -> DataFrame:
         )
         .orderBy(F.desc("num_clientes"), "RFM_segment")
     )
+
+
+def rfm_preview(rfm: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` customers with the greatest scores."""
+    return rfm.orderBy(F.desc("R_score"), F.desc("F_score"), "customer_id").limit(n)

@@ -71,6 +71,7 @@ def mine_itemsets(
     This runs jobs. The names of the frequent items come to the driver, as they
     do in Spark's FP-growth anyway; see ``frequent_items`` for their bound.
     """
+    spark = baskets.sparkSession
     frequent = frequent_items(baskets, min_support).collect()
     n_baskets = next((r["freq"] for r in frequent if r["item"] is None), 0)
     names = [r["item"] for r in frequent if r["item"] is not None]
@@ -79,14 +80,21 @@ def mine_itemsets(
         .select(F.filter("items", lambda item: item.isin(names)).alias("items"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    search = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    if num_partitions:
-        search.setNumPartitions(num_partitions)
-    model = search.fit(slim)
-    # The model searches anew at each use, hence the table.
-    itemsets = stage_table(model.freqItemsets.select(F.sort_array("items").alias("items"), "freq"))
-    slim.unpersist()
-    return MinedItemsets(itemsets, n_baskets, model)
+    search = FPGrowth(
+        itemsCol="items",
+        minSupport=min_support,
+        minConfidence=min_confidence,
+        # By default there would be as many as input splits, and that squared
+        # in blocks to shuffle.
+        numPartitions=num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    try:
+        model = search.fit(slim)
+        # The model searches anew at each use, hence the table.
+        itemsets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
+        return MinedItemsets(stage_table(itemsets), n_baskets, model)
+    finally:
+        slim.unpersist()
 
 
 def association_rules(

@@ -93,8 +93,9 @@ def exact_ntiles(
     for i, (name, value) in enumerate(values.items()):
         tile = F.lit(1)
         for at in range(i * (tiles - 1), (i + 1) * (tiles - 1)):
-            cut = F.get(cuts, F.lit(at))
+            cut = F.get("cuts", F.lit(at))
             passed = F.struct(_ordinal(value), ordinal) > F.struct(cut["value"], cut["key"])
             tile = tile + passed.cast("int")
         found.append(tile.alias(name))
-    return rows.select("*", *found)
+    # As a column, the subquery is planned once and not for every use.
+    return rows.select("*", cuts.alias("cuts")).select(*rows.columns, *found)

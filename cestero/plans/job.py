@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cestero.plans.summaries import executive_summary, units_per_product
 from cestero.sinks.reports import Reports
-from cestero.sinks.shared import stage_table
+from cestero.sinks.shared import staging
 from cestero.sources import DelimitedSource
 
 # Rankings by the name in their report.
@@ -61,14 +61,15 @@ def run(
     task_id: str = "generate_executive_summary",
 ) -> None:
     """The text is parsed once into columns, which each result then reads singly."""
-    tx = stage_table(source.transactions())
-    product_counts = stage_table(units_per_product(tx, source.id_type))
-    frames = executive_summary(
-        tx, source.product_categories(), source.categories(), top_n, product_counts
-    )
-    # One row, needed by two of the reports.
-    frames["basic_metrics"] = stage_table(frames["basic_metrics"])
-    write_summary(frames, output, top_n, dag_id, task_id)
+    with staging(source.spark) as stage:
+        tx = stage(source.transactions())
+        product_counts = stage(units_per_product(tx, source.id_type))
+        frames = executive_summary(
+            tx, source.product_categories(), source.categories(), top_n, product_counts
+        )
+        # One row, needed by two of the reports.
+        frames["basic_metrics"] = stage(frames["basic_metrics"])
+        write_summary(frames, output, top_n, dag_id, task_id)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +23,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cestero-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame) -> DataFrame:
+def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and go on from what was written.
 
     Unlike a cache this does not compete for memory, survives the loss of
     executors, and lets later steps read single columns.
     """
-    path = shared_folder(df.sparkSession)
+    path = path or shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``stage_table`` for tables that are removed at the end of the block."""
+    folder = shared_folder(spark)
+    try:
+        yield lambda df: stage_table(df, f"{folder}/{uuid.uuid4().hex}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
