@@ -26,10 +26,17 @@ def explode_transactions(
     )
 
 
-def for_stores(tx: DataFrame, store_ids: Iterable[int] | None) -> DataFrame:
-    """Receipts of the given stores: ``None`` is all of them, ``[]`` is none."""
+def for_stores(tx: DataFrame, store_ids: Iterable[int] | DataFrame | None) -> DataFrame:
+    """Receipts of the given stores: ``None`` is all of them, ``[]`` is none.
+
+    A long list is better given as a frame with a column ``store_id``.
+    """
     if store_ids is None:
         return tx
+    if isinstance(store_ids, DataFrame):
+        return tx.join(store_ids.select("store_id").distinct(), "store_id", "left_semi").select(
+            tx.columns
+        )
     return tx.where(F.col("store_id").isin([int(s) for s in store_ids]))
 
 

@@ -70,7 +70,8 @@ def purchase_gaps(tx: DataFrame, date_column: str = "transaction_date") -> DataF
     their number, which a day of very many receipts spreads over several tasks.
     """
     days = _purchase_days(tx, date_column)
-    between = days.where(F.col("prev_date").isNotNull()).select(
+    # Naming n keeps the count in this branch too, so both read one exchange.
+    between = days.where("prev_date IS NOT NULL AND n > 0").select(
         "customer_id", "prev_date", "date", F.date_diff("date", "prev_date").alias("days_between")
     )
     size = _REPEATS_PER_TASK_ROW

@@ -175,7 +175,10 @@ def test_combinations_keep_order_unless_normalised(receipts):
     assert {tuple(r["items"]): r.frequency for r in sets} == {("1", "2"): 4}
 
 
-def test_stores(dirty):
+def test_stores(dirty, spark):
+    chosen = spark.createDataFrame([(2,), (2,), (7,)], "store_id int")
+    found = baskets.for_stores(dirty, chosen)
+    assert (found.count(), found.columns) == (2, dirty.columns)
     assert values(baskets.available_stores(dirty)) == [(1,), (2,)]
     assert baskets.for_stores(dirty, None).count() == 5
     assert baskets.for_stores(dirty, []).count() == 0

@@ -76,3 +76,8 @@ def test_no_query_uses_python_or_a_cartesian_product(spark, sf_dir):
         plan = "\n".join(executed_plan(QUERIES[name](spark, sf_dir)))
         for bad in ("CartesianProduct", "NestedLoopJoin", "PythonUDF", "ArrowEval", "BatchEval"):
             assert bad not in plan
+
+
+def test_gaps_read_the_receipts_once(spark, sf_dir):
+    plan = executed_plan(QUERIES["purchase_gaps"](spark, sf_dir))
+    assert len(lines_with(plan, "FileScan")) == 1

@@ -6,7 +6,7 @@ import pytest
 
 from cestero.sinks.delimited import write_delimited
 from cestero.sources import DelimitedSource, JdbcSource, ingest, open_source
-from cestero.sources.ingest import read_ingested
+from cestero.sources.ingest import read_ingested, write_transactions
 from cestero.sources.jdbc import Slices
 from cestero.sources.select import settings_from
 
@@ -78,6 +78,27 @@ def test_ingest_replaces_what_was_there(spark, base, tmp_path):
     assert spark.read.parquet(paths["product_categories"]).count() == 3
 
 
+def test_a_store_with_most_receipts_is_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "20KB")
+    try:
+        tx = spark.range(60_000, numPartitions=8).selectExpr(
+            "date'2024-01-01' AS transaction_date",
+            "cast(if(id % 3 = 0, id % 40, 1) AS int) AS store_id",
+            "cast(id AS int) AS customer_id",
+            "cast(hash(id) AS string) AS products",
+        )
+        write_transactions(tx, str(tmp_path / "t"))
+    finally:
+        spark.conf.unset(size)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("store_id=*")}
+    assert len(files) == 40
+    assert files["store_id=1"] > 2
+    # Stores that share its shuffle partition are split along with it, others not.
+    assert sum(n == 1 for n in files.values()) > 20
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000
+
+
 def test_choice_of_source(spark, base):
     assert isinstance(open_source(spark, "S3", base=base), DelimitedSource)
     assert isinstance(open_source(spark, "Postgres", host="db"), JdbcSource)
