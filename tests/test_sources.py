@@ -80,7 +80,7 @@ def test_ingest_replaces_what_was_there(spark, base, tmp_path):
 
 def test_a_store_with_most_receipts_is_written_by_several_tasks(spark, tmp_path):
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(size, "20KB")
+    spark.conf.set(size, "150KB")
     try:
         tx = spark.range(60_000, numPartitions=8).selectExpr(
             "date'2024-01-01' AS transaction_date",
