@@ -45,8 +45,8 @@ def receipts_with_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exploded(spark: SparkSession, sf_dir: str, store: bool = False) -> DataFrame:
-    tx = tables.transactions(spark, sf_dir, store=store)
-    return baskets.explode_transactions(tx, id_type=ID_TYPE)
+    lines = tables.receipt_lines(spark, sf_dir, store=store)
+    return baskets.explode_transactions(lines, id_type=ID_TYPE)
 
 
 def joined(df: DataFrame, *arrays: str) -> DataFrame:
@@ -78,7 +78,7 @@ def transactions(spark, sf_dir):
 
 @query
 def explode_transactions(spark, sf_dir):
-    return exploded(spark, sf_dir, store=True)
+    return baskets.explode_transactions(tables.transactions(spark, sf_dir), id_type=ID_TYPE)
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DelimitedSource:
@@ -150,9 +150,10 @@ def top_categories(spark, sf_dir):
 @query
 def executive_summary(spark, sf_dir):
     return summaries.executive_summary_rows(
-        receipts_with_baskets(spark, sf_dir),
+        receipts(spark, sf_dir),
         tables.product_categories(spark, sf_dir),
         tables.categories(spark, sf_dir),
+        exploded=exploded(spark, sf_dir),
     )
 
 
@@ -381,8 +382,7 @@ def multi_item_count(spark, sf_dir):
 
 @query
 def product_summary(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir)
-    ex = baskets.explode_transactions(tx, id_type=ID_TYPE)
+    tx, ex = receipts_with_baskets(spark, sf_dir), exploded(spark, sf_dir, store=True)
     frames = summaries.product_summary(tx, ex, run_market_basket=False)
     frames.pop("market_basket")
     return _sizes(frames)

@@ -16,7 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def basket_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product ids of each order as one text, which is a receipt's own format."""
+    """Product ids of each order as one text, which is a receipt's own format.
+
+    The list grows with the lines of one order and has to fit the one cell
+    that a receipt is.
+    """
     line = F.struct("l_linenumber", "l_partkey")
     parts = F.sort_array(F.collect_list(line))["l_partkey"]
     return (
@@ -50,6 +54,22 @@ def transactions(
     return tx.select("transaction_id", "transaction_date", "store_id", "customer_id", "products")
 
 
+def receipt_lines(spark: SparkSession, sf_dir: str, store: bool = True) -> DataFrame:
+    """Receipts in pieces of one product each.
+
+    They explode to the same rows as whole receipts and need no grouping, so
+    an order with any number of lines stays spread over the cluster.
+    """
+    orders = transactions(spark, sf_dir, store=store, products=False).drop("products")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("transaction_id"),
+        F.col("l_partkey").cast("string").alias("products"),
+    )
+    return lines.join(orders, "transaction_id").select(
+        "transaction_id", "transaction_date", "store_id", "customer_id", "products"
+    )
+
+
 def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")

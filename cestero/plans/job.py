@@ -65,7 +65,11 @@ def run(
         tx = stage(source.transactions())
         product_counts = stage(units_per_product(tx, source.id_type))
         frames = executive_summary(
-            tx, source.product_categories(), source.categories(), top_n, product_counts
+            tx,
+            source.product_categories(),
+            source.categories(),
+            top_n,
+            product_counts=product_counts,
         )
         # One row, needed by two of the reports.
         frames["basic_metrics"] = stage(frames["basic_metrics"])

@@ -18,16 +18,18 @@ def executive_summary(
     product_categories: DataFrame,
     categories: DataFrame,
     top_n: int = 10,
+    exploded: DataFrame | None = None,
     product_counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Headline figures and rankings, lazily.
 
-    Products and categories rank from the same units per product;
-    ``product_counts`` hands those in if the caller has stored them.
+    Products and categories rank from the same units per product. These come
+    from ``product_counts`` if the caller has stored them, else from
+    ``exploded`` if given, else from the basket texts.
     """
     metrics = summary.basic_metrics(tx)
     if product_counts is None:
-        product_counts = units_per_product(tx, _id_type(product_categories))
+        product_counts = units_per_product(tx, _id_type(product_categories), exploded)
     else:
         metrics = _metrics_from_counts(tx, product_counts)
     volumes = summary.category_volumes(product_counts, product_categories, categories)
@@ -40,8 +42,11 @@ def executive_summary(
     }
 
 
-def units_per_product(tx: DataFrame, id_type: str = "int") -> DataFrame:
-    exploded = baskets.explode_transactions(tx, id_type=id_type)
+def units_per_product(
+    tx: DataFrame, id_type: str = "int", exploded: DataFrame | None = None
+) -> DataFrame:
+    if exploded is None:
+        exploded = baskets.explode_transactions(tx, id_type=id_type)
     return summary.count_by(exploded, "product_id", "total_sold")
 
 
@@ -75,7 +80,11 @@ _RANKINGS = (
 
 
 def executive_summary_rows(
-    tx: DataFrame, product_categories: DataFrame, categories: DataFrame, top_n: int = 10
+    tx: DataFrame,
+    product_categories: DataFrame,
+    categories: DataFrame,
+    top_n: int = 10,
+    exploded: DataFrame | None = None,
 ) -> DataFrame:
     """The executive summary in one frame: section, rank, key, value.
 
@@ -83,8 +92,10 @@ def executive_summary_rows(
     totals come from the counts per day and per product that the rankings
     have made anyway.
     """
-    product_counts = units_per_product(tx, _id_type(product_categories))
-    frames = executive_summary(tx, product_categories, categories, top_n, product_counts)
+    product_counts = units_per_product(tx, _id_type(product_categories), exploded)
+    frames = executive_summary(
+        tx, product_categories, categories, top_n, product_counts=product_counts
+    )
     days = temporal.per_day(tx)
     totals = [
         _total_row(days, "num_transacciones", 1, "total_transactions"),

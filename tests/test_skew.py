@@ -103,3 +103,10 @@ def test_leaving_tables_out_changes_no_receipt(spark, sf_dir):
     columns = ["transaction_id", "transaction_date", "customer_id"]
     lean = tables.transactions(spark, sf_dir, store=False, products=False)
     assert sorted(whole.select(columns).collect()) == sorted(lean.select(columns).collect())
+
+
+def test_receipts_in_pieces_explode_to_the_same_rows(spark, sf_dir):
+    whole = baskets.explode_transactions(tables.transactions(spark, sf_dir), id_type="bigint")
+    pieces = baskets.explode_transactions(tables.receipt_lines(spark, sf_dir), id_type="bigint")
+    assert whole.exceptAll(pieces).count() == 0
+    assert pieces.exceptAll(whole).count() == 0
