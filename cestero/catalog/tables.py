@@ -100,6 +100,6 @@ def type_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_set("p_type")).alias("items"))
+        .agg(F.collect_set("p_type").alias("items"))
         .select("items")
     )

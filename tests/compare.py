@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import duckdb
 
 TABLES = (
@@ -24,8 +22,6 @@ def _sortable(row):
 
 
 def _same(a, b):
-    if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
     return a == b and type(a) is type(b)
 
 
