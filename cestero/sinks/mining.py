@@ -52,7 +52,8 @@ def save_mining(
     itemsets.write.mode("overwrite").parquet(f"{path}/itemsets")
     rules.write.mode("overwrite").parquet(f"{path}/rules")
     used = [F.lit(v).alias(k) for k, v in asdict(parameters).items()]
-    spark.range(1, numPartitions=1).select(*used).write.mode("overwrite").parquet(f"{path}/parameters")
+    row = spark.range(1, numPartitions=1).select(*used)
+    row.write.mode("overwrite").parquet(f"{path}/parameters")
 
 
 def load_mining(

@@ -141,7 +141,8 @@ def test_rfm_reference_date(four_customers):
 @pytest.fixture
 def growing(receipts):
     days = [f"2024-01-{d:02d}" for d in range(1, 22)]
-    return receipts([(d, 1, 1, "1") for i, d in enumerate(days) for _ in range(10 if i < 14 else 20)])
+    counts = [10] * 14 + [20] * 7
+    return receipts([(d, 1, 1, "1") for d, n in zip(days, counts) for _ in range(n)])
 
 
 def test_trend(growing):
