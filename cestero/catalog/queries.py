@@ -81,29 +81,35 @@ def explode_transactions(spark, sf_dir):
     return baskets.explode_transactions(tables.transactions(spark, sf_dir), id_type=ID_TYPE)
 
 
-def _files(spark: SparkSession, sf_dir: str) -> DelimitedSource:
-    """The three inputs, written out as delimited files."""
-    base = shared_folder(spark)
-    source = DelimitedSource(spark, base, id_type=ID_TYPE)
-    tx = tables.transactions(spark, sf_dir).drop("transaction_id")
-    write_delimited(
-        tx.select("transaction_date", "store_id", "customer_id", "products"),
-        f"{base}/transactions",
-    )
+def _receipt_files(spark: SparkSession, sf_dir: str, base: str) -> DelimitedSource:
+    tx = tables.transactions(spark, sf_dir)
+    columns = ("transaction_date", "store_id", "customer_id", "products")
+    write_delimited(tx.select(*columns), f"{base}/transactions")
+    return DelimitedSource(spark, base, id_type=ID_TYPE)
+
+
+def _reference_files(spark: SparkSession, sf_dir: str, base: str) -> DelimitedSource:
     bridge = tables.product_categories(spark, sf_dir)
     write_delimited(bridge, f"{base}/products/ProductCategory.csv", header=True)
     write_delimited(tables.categories(spark, sf_dir), f"{base}/products/Categories.csv")
-    return source
+    return DelimitedSource(spark, base, id_type=ID_TYPE)
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DelimitedSource:
+    """The three inputs, written out as delimited files."""
+    base = shared_folder(spark)
+    _reference_files(spark, sf_dir, base)
+    return _receipt_files(spark, sf_dir, base)
 
 
 @query
 def csv_roundtrip(spark, sf_dir):
-    return _files(spark, sf_dir).transactions()
+    return _receipt_files(spark, sf_dir, shared_folder(spark)).transactions()
 
 
 @query
 def reference_csv_roundtrip(spark, sf_dir):
-    source = _files(spark, sf_dir)
+    source = _reference_files(spark, sf_dir, shared_folder(spark))
     return source.product_categories().join(source.categories(), "category_id", "left")
 
 

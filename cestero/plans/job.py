@@ -1,20 +1,26 @@
 """Batch job: executive summary from delimited files to JSON reports.
 
-    spark-submit --py-files cestero.zip -m cestero.plans.job ...
     python -m cestero.plans.job --data-base-uri s3a://in --output-prefix s3a://out
+
+Arguments left out come from the environment of a file source, if set there.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cestero.operators.quality import sample_transactions
+from cestero.operators.summary import basic_metrics
+from cestero.operators.temporal import daily_sales
 from cestero.plans.summaries import executive_summary, units_per_product
 from cestero.sinks.reports import Reports
 from cestero.sinks.shared import staging
 from cestero.sources import DelimitedSource
+from cestero.sources.select import settings_from
 
 # Rankings by the name in their report.
 RANKINGS = {
@@ -24,6 +30,9 @@ RANKINGS = {
     "categories": "top_categories",
 }
 
+# Fixed value: receipts in a sample.
+SAMPLE_SIZE = 5000
+
 
 def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Executive summary of retail receipts.")
@@ -32,7 +41,7 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--categories-path", help="file of the category names")
     parser.add_argument("--product-categories-path", help="file of products and categories")
     parser.add_argument("--output-prefix", required=True, help="base path of the reports")
-    parser.add_argument("--separator", default="|", help="column separator of the input")
+    parser.add_argument("--separator", help="column separator of the input")
     parser.add_argument("--job-name", default="executive-summary", help="application name")
     parser.add_argument("--top-n", type=int, default=10, help="length of the rankings")
     parser.add_argument("--dag-id", default="01_executive_summary", help="for the metadata")
@@ -76,6 +85,19 @@ def run(
         write_summary(frames, output, top_n, dag_id, task_id)
 
 
+def run_sample(source: DelimitedSource, output: str, max_records: int = SAMPLE_SIZE) -> None:
+    """Daily activity in some receipts only, to try an installation out."""
+    with staging(source.spark) as stage:
+        # Stored, so that all reports are about the same receipts.
+        sample = stage(sample_transactions(source.transactions(), max_records))
+        reports = Reports(output)
+        reports.time_series(daily_sales(sample), "sample_summary", "date", "num_transacciones")
+        metrics = basic_metrics(sample)
+        info = {total: metrics.select(total).scalar() for total in metrics.columns}
+        info |= {"max_records": max_records, "status": "success"}
+        reports.run_metadata(source.spark, "02_sample_summary", "sample", info)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = parse_arguments(argv)
     spark = (
@@ -83,14 +105,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    source = DelimitedSource(
-        spark,
-        args.data_base_uri,
-        transactions_path=args.transactions_path,
-        categories_path=args.categories_path,
-        product_categories_path=args.product_categories_path,
-        sep=args.separator,
-    )
+    given = {
+        "base": args.data_base_uri,
+        "transactions_path": args.transactions_path,
+        "categories_path": args.categories_path,
+        "product_categories_path": args.product_categories_path,
+        "sep": args.separator,
+    }
+    settings = settings_from({**os.environ, "DATA_SOURCE": "s3"})
+    settings |= {name: value for name, value in given.items() if value}
+    settings.pop("kind")
+    source = DelimitedSource(spark, **settings)
     try:
         run(source, args.output_prefix, args.top_n, args.dag_id, args.task_id)
     finally:

@@ -130,3 +130,15 @@ def test_job(spark, tmp_path):
     assert metadata["total_transactions"] == 7
     assert metadata["total_sales_units"] == 28
     assert metadata["status"] == "success"
+
+
+def test_sample_job(spark, tmp_path):
+    (tmp_path / "transactions").mkdir()
+    lines = [f"2024-01-{1 + i % 28:02d}|1|{i}|1 2" for i in range(100)]
+    (tmp_path / "transactions/1_Tran.csv").write_text("\n".join(lines) + "\n")
+    out = tmp_path / "out"
+    job.run_sample(job.DelimitedSource(spark, str(tmp_path)), str(out), max_records=40)
+    daily = documents(out / "analytics/sample_summary.json/data")
+    assert sum(day["num_transacciones"] for day in daily) == 40
+    [metadata] = documents(out / "metadata/02_sample_summary_sample.json")
+    assert (metadata["total_transactions"], metadata["total_sales_units"]) == (40, 80)
