@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
@@ -19,6 +21,11 @@ class MiningParameters:
     min_support: float
     min_confidence: float
 
+    def folder(self, path: str) -> str:
+        """Own folder of these parameters, so that no other search writes there."""
+        digest = hashlib.sha256(json.dumps(asdict(self), sort_keys=True).encode()).hexdigest()
+        return f"{path.rstrip('/')}/{digest[:20]}"
+
 
 def flat(df: DataFrame) -> DataFrame:
     """Array columns joined by commas, as CSV can hold them."""
@@ -49,6 +56,7 @@ def save_mining(
 ) -> None:
     """Store both frames as Parquet; the parameters last, as a sign of completion."""
     spark = itemsets.sparkSession
+    path = parameters.folder(path)
     itemsets.write.mode("overwrite").parquet(f"{path}/itemsets")
     rules.write.mode("overwrite").parquet(f"{path}/rules")
     used = [F.lit(v).alias(k) for k, v in asdict(parameters).items()]
@@ -60,8 +68,10 @@ def load_mining(
     spark: SparkSession, path: str, parameters: MiningParameters
 ) -> tuple[DataFrame, DataFrame] | None:
     """Stored itemsets and rules, if they were made with just these parameters."""
+    path = parameters.folder(path)
     try:
-        used = spark.read.parquet(f"{path}/parameters").first()
+        stored = spark.read.schema("source string, min_support double, min_confidence double")
+        used = stored.parquet(f"{path}/parameters").first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

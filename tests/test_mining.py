@@ -93,6 +93,9 @@ def test_stored_search_is_used_for_equal_parameters_only(planted, tmp_path):
     other = market_basket(planted, 0.3, 0.3, reuse_path=path, source="planted")
     assert other["model"] is not None
     assert len(by_items(other["frequent_itemsets"])) == 4
+    third = market_basket(planted, 0.1, 0.3, reuse_path=path, source="planted")
+    assert third["model"] is None
+    assert by_items(third["frequent_itemsets"]) == by_items(first["frequent_itemsets"])
 
 
 def test_csv_files(spark, planted, tmp_path):
