@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cestero.llm import quality, toxicity
+from cestero.llm import bpe, quality, token_counts, toxicity
 from cestero.llm.text import held_out, table
 
 
@@ -28,8 +29,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(documents, score, toxicity.THRESHOLD)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    library = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), library)
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op7_token_counts": op7_token_counts,
+    "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,18 +16,18 @@ from cestero.sinks.shared import shared_folder, stage_table
 #: Texts are cut at white space into pieces of about so many characters while
 #: their words are listed, so that a very long text needs no more memory.
 SLICE = 1 << 21
-#: Words a worker remembers; further ones are computed anew each time.
+#: Words in one generation of a worker's memory.
 REMEMBERED = 1 << 18
 
 _EDGES = re.compile(r"^\W+|\W+$")
 _SPACE = re.compile(r"\s")
 
 
-def slices(text: str, size: int = SLICE) -> Iterator[str]:
-    """Pieces of ``text`` that end at white space; one after the other they are the text."""
+def slices(text: str, size: int = SLICE, gaps: re.Pattern = _SPACE) -> Iterator[str]:
+    """Pieces of ``text`` that begin at a gap; one after the other they are the text."""
     start = 0
     while len(text) - start > size:
-        gap = _SPACE.search(text, start + size)
+        gap = gaps.search(text, start + size)
         if gap is None:
             break
         yield text[start : gap.start()]
@@ -41,18 +42,45 @@ def plain_word(chunk: str) -> str:
 
 
 class Memo(dict):
-    """Values of ``compute`` by key, of which a bounded number is kept."""
+    """Values of ``compute`` by key. What was not asked for lately is forgotten.
 
-    def __init__(self, compute, most: int = REMEMBERED):
+    Keys live in two generations of at most ``most``; when the young one is
+    full it becomes the old one, and what the old one held is dropped.
+    """
+
+    def __init__(self, compute=None, most: int = REMEMBERED):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.old = compute, most, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if len(self) < self.most:
-            self[key] = value
+        value = self.recall(key)
+        if value is None:
+            value = self.compute(key)
+            self.keep(key, value)
+        return value
+
+    def recall(self, key):
+        value = self.get(key)
+        if value is None:
+            value = self.old.pop(key, None)
+            if value is not None:
+                self.keep(key, value)
         return value
 
+    def keep(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
+def of_worker(name: str, make):
+    """``make()`` once for a worker process, which outlives a task."""
+    kept = sys.__dict__.setdefault("_cestero_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
 
 def word_hash(chunk: str) -> int:
     return xxhash.xxh3_64_intdigest(plain_word(chunk).encode("utf-8", "surrogatepass"))
