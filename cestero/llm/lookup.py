@@ -9,15 +9,28 @@ begin with further white space is encoded as a whole instead.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 
-from cestero.llm.text import SLICE, Memo, slices
+from tokenizers import Tokenizer
+
+from cestero.llm.text import SLICE, Memo, of_worker, slices
 
 #: A space at which a text can be cut whatever stands around it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def library(tokenizer_json: str) -> Tokenizer:
+    """The library with a vocabulary, once a worker; Spark alone decides how many threads run."""
+
+    def load() -> Tokenizer:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_str(tokenizer_json)
+
+    return of_worker(f"library {hash(tokenizer_json)}", load)
+
+
 def space_led(text: str, first: bool) -> list[str]:
     """Keys of the pieces. The first piece of a text has no space before it in
     the text; its key begins with one, which no other key does."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cestero.llm import bpe, quality, token_counts, toxicity
+from cestero.llm import bpe, packing, quality, token_counts, toxicity
 from cestero.llm.text import held_out, table
 
 
@@ -34,6 +34,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), library)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    library = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), library)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op7_token_counts": op7_token_counts,
+    "op8_packing": op8_packing,
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}

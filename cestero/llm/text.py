@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import sys
 from collections.abc import Iterator
@@ -135,5 +136,14 @@ def labelled_texts(
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once below the shared folder."""
-    return stage_table(df, shared_folder(df.sparkSession))
+    """``df`` written once below the shared folder, where it stays until this process ends."""
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession)
+
+    def remove() -> None:
+        if spark._jsc.sc().isStopped():
+            return
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    atexit.register(remove)
+    return stage_table(df, folder)

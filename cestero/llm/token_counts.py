@@ -19,9 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
-from tokenizers import Tokenizer
 
-from cestero.llm.lookup import looked_up, space_led, text_of
+from cestero.llm.lookup import library, looked_up, space_led, text_of
 from cestero.llm.text import Memo, of_worker
 
 #: Documents whose pieces are counted for the first tier, about, and its entries, at most.
@@ -31,16 +30,17 @@ FREQUENT = 1 << 15
 
 def _counter(tokenizer_json: str):
     """Numbers of tokens of many pieces, and of one whole slice."""
-    library = of_worker(f"library {hash(tokenizer_json)}", lambda: Tokenizer.from_str(tokenizer_json))
+    own = library(tokenizer_json)
 
     def many(keys: list[str]) -> list[int | None]:
         texts = [text_of(key) for key in keys]
         known = [t for t in texts if t is not None]
-        lengths = iter([len(e) for e in library.encode_batch_fast(known, add_special_tokens=False)])
+        encoded = own.encode_batch_fast(known, add_special_tokens=False)
+        lengths = iter([len(e) for e in encoded])
         return [None if t is None else next(lengths) for t in texts]
 
     def whole(text: str) -> list[int]:
-        return [len(library.encode(text, add_special_tokens=False))]
+        return [len(own.encode(text, add_special_tokens=False))]
 
     return many, whole
 
@@ -93,12 +93,12 @@ def n_tokens(text: Column, tokenizer_json: str, frequent) -> Column:
 def token_counts(documents: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for the library file at ``tokenizer``."""
     with open(tokenizer, encoding="utf-8") as file:
-        library = file.read()
+        vocabulary = file.read()
     spark = documents.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_lengths(documents, library))
+    frequent = spark.sparkContext.broadcast(frequent_lengths(documents, vocabulary))
     text = F.coalesce("text", F.lit(""))
     return documents.select(
         "doc_id",
         F.octet_length(text).cast("long").alias("n_bytes"),
-        n_tokens(F.col("text"), library, frequent).alias("n_tokens"),
+        n_tokens(F.col("text"), vocabulary, frequent).alias("n_tokens"),
     ).withColumn("over_limit", F.col("n_tokens") > limit)
