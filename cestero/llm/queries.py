@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cestero.llm import bpe, packing, quality, token_counts, toxicity
+from cestero.llm import bpe, packing, quality, suffix_dedup, token_counts, toxicity
 from cestero.llm.text import held_out, table
 
 
@@ -39,6 +39,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), library)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept, size = F.col("remains.kept"), F.octet_length("text").cast("long")
+    return suffix_dedup.remove_repeats(documents).select(
+        "doc_id",
+        size.alias("n_bytes"),
+        (size - F.octet_length(kept)).alias("n_removed"),
+        F.size("remains.spans").cast("long").alias("n_spans"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -56,6 +68,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
