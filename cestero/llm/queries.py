@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cestero.llm import bpe, packing, quality, suffix_dedup, token_counts, toxicity
+from cestero.llm import bpe, near_dup, packing, quality, suffix_dedup, token_counts, toxicity
 from cestero.llm.text import held_out, table
 
 
@@ -29,6 +29,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(documents, score, toxicity.THRESHOLD)
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     library = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), library)
@@ -66,6 +70,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op6_near_dup": op6_near_dup,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
