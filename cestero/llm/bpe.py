@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cestero.llm.lookup import looked_up, space_led, text_of
+from cestero.llm.lookup import looked_up, small, space_led, text_of
 from cestero.llm.text import Memo, of_worker
 
 #: Stands for a character that the library takes as neither letter, number nor space.
@@ -179,18 +179,17 @@ class Replay:
         return self.words([m.encode() for m in self.matches(text)])
 
 
-def encode(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """``doc_id, ids`` of each text by the rank file at ``ranks``.
+def _encoder(spark: SparkSession, ranks: str, pattern: str):
+    """From batches of ``doc_id, text`` to batches of ``doc_id, ids``.
 
     The vocabulary is broadcast; it is as large as its file, whatever the corpus.
     """
-    spark = documents.sparkSession
     shared = spark.sparkContext.broadcast((read_ranks(ranks), pattern, younger_characters()))
     key = f"replay {ranks}"
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, memo = of_worker(key, lambda: (Replay(*shared.value), Memo()))
-        for batch in batches:
+        for batch in small(batches):
             parts: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
             texts = (t.as_py() for t in batch.column(1))
             for k, values in looked_up(texts, memo, space_led, replay.pieces, replay.whole):
@@ -202,23 +201,22 @@ def encode(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 [batch.column(0), pa.ListArray.from_arrays(ends, values)], ["doc_id", "ids"]
             )
 
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(encoded, "doc_id long, ids array<int>")
+    return encoded
 
 
-def decode(encoded: DataFrame, ranks: str) -> DataFrame:
-    """``doc_id, ids, decoded``: the bytes that the ids stand for."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks))
+def _decoder(spark: SparkSession, ranks: str):
+    """From batches of ``doc_id, ids`` to batches that have ``decoded`` besides."""
+    shared = spark.sparkContext.broadcast(read_ranks(ranks))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared.value
         sizes = np.array([len(t) for t in tokens], np.int64)
         for batch in batches:
             lists = batch.column(1)
-            ids = lists.values.to_numpy(zero_copy_only=False)
             ends = lists.offsets.to_numpy()
-            raw = b"".join(map(tokens.__getitem__, ids[ends[0] : ends[-1]].tolist()))
-            lengths = np.concatenate(([0], np.cumsum(sizes[ids[ends[0] : ends[-1]]])))
+            ids = lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+            raw = b"".join(map(tokens.__getitem__, ids.tolist()))
+            lengths = np.concatenate(([0], np.cumsum(sizes[ids])))
             cuts = lengths[ends - ends[0]].astype(np.int32)
             binary = pa.Array.from_buffers(
                 pa.binary(), len(lists), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]
@@ -227,6 +225,33 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
                 [batch.column(0), lists, binary], ["doc_id", "ids", "decoded"]
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        decoded, "doc_id long, ids array<int>, decoded binary"
+    return decoded
+
+
+_IDS = "doc_id long, ids array<int>"
+_DECODED = f"{_IDS}, decoded binary"
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
+
+
+def encode(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """``doc_id, ids`` of each text by the rank file at ``ranks``."""
+    encoder = _encoder(documents.sparkSession, ranks, pattern)
+    return _texts(documents).mapInArrow(encoder, _IDS)
+
+
+def decode(encoded: DataFrame, ranks: str) -> DataFrame:
+    """``doc_id, ids, decoded``: the bytes that the ids stand for."""
+    decoder = _decoder(encoded.sparkSession, ranks)
+    return encoded.select("doc_id", "ids").mapInArrow(decoder, _DECODED)
+
+
+def round_trip(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """``decode`` of ``encode``, one after the other in the same worker."""
+    spark = documents.sparkSession
+    encoder, decoder = _encoder(spark, ranks, pattern), _decoder(spark, ranks)
+    return _texts(documents).mapInArrow(lambda batches: decoder(encoder(batches)), _DECODED)

@@ -13,6 +13,7 @@ import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from cestero.llm.text import SLICE, Memo, of_worker, slices
@@ -53,6 +54,13 @@ def white_split(text: str, first: bool) -> list[bytes]:
     return text.encode().split()
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches, so that what is made of them is short too."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def looked_up(
     texts: Iterable[str],
     memo: Memo,

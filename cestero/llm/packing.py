@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cestero.llm.lookup import library, looked_up, white_split
+from cestero.llm.lookup import library, looked_up, small, white_split
 from cestero.llm.text import Memo, of_worker, staged
 
 LENGTH = 4096
@@ -69,7 +69,7 @@ def tokenised(documents: DataFrame, tokenizer: str, length: int = LENGTH, ids: b
         def whole(text: str) -> list[bytes]:
             return encode([text.encode()])
 
-        for batch in batches:
+        for batch in small(batches):
             parts: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
             texts = (t.as_py() for t in batch.column(1))
             for k, values in looked_up(texts, memo, white_split, encode, whole):

@@ -16,7 +16,7 @@ from cestero.sinks.shared import shared_folder, stage_table
 
 #: Texts are cut at white space into pieces of about so many characters while
 #: their words are listed, so that a very long text needs no more memory.
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Words in one generation of a worker's memory.
 REMEMBERED = 1 << 18
 
