@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cestero.llm import bpe, near_dup, packing, quality, suffix_dedup, token_counts, toxicity
+from cestero.llm import (
+    bpe,
+    hash_forest,
+    near_dup,
+    packing,
+    quality,
+    suffix_dedup,
+    token_counts,
+    topk,
+    toxicity,
+)
 from cestero.llm.text import held_out, table
 
 
@@ -29,6 +39,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(documents, score, toxicity.THRESHOLD)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return topk.top_k(embeddings, embeddings.where("vec_id % 100 = 0"), 10)
+
+
+def op5_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return hash_forest.nearest(embeddings, embeddings.where("vec_id % 20 = 0"), 20)
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
@@ -57,9 +77,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    documents = table(spark, sf_dir, "documents")
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decode(encoded, ranks).select(
+    return bpe.round_trip(documents, ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
@@ -70,10 +90,32 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op3_top_k": op3_top_k,
+    "op5_hash_forest": op5_hash_forest,
     "op6_near_dup": op6_near_dup,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_top_k": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(
+                embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS terms
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                CAST(list_inner_product(q.terms, c.terms) AS BIGINT) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scores
+        ) WHERE rank <= 10
+    """,
+}
