@@ -16,8 +16,13 @@ from cestero.llm import (
     token_counts,
     topk,
     toxicity,
+    warc,
 )
 from cestero.llm.text import held_out, table
+from cestero.sinks.shared import shared_folder
+
+#: A replica of the fixity drill differs in the records of ids that this divides.
+DRILL = 97
 
 
 def _scored(documents: DataFrame, score, threshold: float) -> DataFrame:
@@ -44,6 +49,25 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(embeddings, embeddings.where("vec_id % 100 = 0"), 10)
 
 
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica of all pages that differs in a drill: every 97th id has another date."""
+    pages = table(spark, sf_dir, "pages")
+    listed = warc.manifest(warc.records(pages))
+    date = F.when(F.col("page_id") % DRILL == 0, warc.DATE.replace("00Z", "01Z")).otherwise(warc.DATE)
+    altered = warc.record(F.col("page_id"), F.col("url"), F.col("html"), date)
+    original = warc.record(F.col("page_id"), F.col("url"), F.col("html"), F.lit(warc.DATE))
+    replica = pages.select(
+        "page_id", F.sha2(original.cast("binary"), 256).alias("sha256"), altered.alias("record")
+    )
+    folder = shared_folder(spark)
+    warc.write_warc(replica, folder)
+    found = warc.in_order(warc.read_warc(spark, folder), "file", "piece", "number")
+    bad = warc.audit(listed, found).withColumn("bad", F.lit(True))
+    return listed.join(bad, "ordinal", "left").select(
+        "page_id", "ordinal", "offset", "length", "sha256", F.col("bad").isNull().alias("intact")
+    )
+
+
 def op5_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
     return hash_forest.nearest(embeddings, embeddings.where("vec_id % 20 = 0"), 20)
@@ -91,6 +115,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_top_k": op3_top_k,
+    "op4_warc_fixity": op4_warc_fixity,
     "op5_hash_forest": op5_hash_forest,
     "op6_near_dup": op6_near_dup,
     "op7_token_counts": op7_token_counts,
@@ -99,6 +124,23 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc_fixity": """
+        WITH records AS (
+            SELECT page_id, concat(
+                'WARC/1.1', e, 'WARC-Type: response', e, 'WARC-Record-ID: <urn:page:', page_id, '>', e,
+                'WARC-Target-URI: ', regexp_replace(url, '[\\r\\n]', '', 'g'), e,
+                'WARC-Date: 2024-01-01T00:00:00Z', e, 'Content-Type: text/html', e,
+                'Content-Length: ', strlen(coalesce(html, '')), e, e, html) AS record
+            FROM pages, (SELECT chr(13) || chr(10) AS e)
+        ), hashed AS (
+            SELECT page_id, strlen(record) AS length, sha256(record) AS sha256 FROM records
+        )
+        SELECT page_id, row_number() OVER (ORDER BY page_id NULLS FIRST, sha256) - 1 AS ordinal,
+            CAST(coalesce(sum(length + 4) OVER (ORDER BY page_id NULLS FIRST, sha256
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset,
+            length, sha256, coalesce(page_id % 97 <> 0, true) AS intact
+        FROM hashed
+    """,
     "op3_top_k": """
         WITH usable AS (
             SELECT vec_id, list_transform(

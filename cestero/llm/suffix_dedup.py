@@ -415,3 +415,20 @@ def remove_repeats(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
     return joined.withColumn("remains", remaining(F.col("text"), F.col("packed"))).select(
         *own.columns, "remains"
     )
+
+
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """``documents`` with what remains of each text; ``n_chars``, if there is one, counts it anew.
+
+    A character that was cut through goes altogether.
+    """
+
+    @F.pandas_udf("string")
+    def readable(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda raw: raw.decode("utf-8", "ignore"))
+
+    cut = remove_repeats(documents).withColumn("text", readable(F.col("remains.kept")))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(kind))
+    return cut.select(*[c for c in documents.columns if c in cut.columns])
