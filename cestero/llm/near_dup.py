@@ -311,10 +311,10 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """``documents`` without near-duplicates: of each class the row with the smallest id.
 
     Ids that are null come last; of rows with equal ids one with the smallest
-    hash of its text is kept. Columns of the input called like ``node__`` are dropped.
+    hash of its text is kept.
     """
     _, parts = links(documents)
-    own = documents.drop("node__", "component__", "rank__")
+    own = documents
     text = F.coalesce("text", F.lit(""))
     rows = own.withColumn("node__", node(text))
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id__")
