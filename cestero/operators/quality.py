@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cestero.functions import basket_tokens, basket_units, trimmed
+from cestero.operators.temporal import per_day
 
 
 def category_report(product_categories: DataFrame, categories: DataFrame) -> DataFrame:
@@ -40,14 +41,26 @@ def uncategorised_products(product_counts: DataFrame, product_categories: DataFr
 def transaction_quality(tx: DataFrame, id_type: str = "int") -> DataFrame:
     """One row of counts: NULLs per column, odd baskets, odd tokens, repeats.
 
-    Equal receipts are first brought together with their number, so that
-    repeats are known and the tokens of each different receipt read once.
+    What a basket text shows is found where it is read; equal receipts are then
+    brought together by a digest of it, so that no text is shuffled.
     """
     columns = ["transaction_date", "store_id", "customer_id", "products"]
-    distinct = tx.groupBy(*columns).agg(F.count("*").alias("n"))
     bad = F.array_size(
         F.filter(basket_tokens(clean=True), lambda token: token.try_cast(id_type).isNull())
     )
+    text = F.col("products")
+    seen = tx.select(
+        *columns[:3],
+        F.sha2(text.cast("binary"), 256).alias("products"),
+        (trimmed() == "").alias("empty"),
+        trimmed().contains("  ").alias("double_space"),
+        bad.alias("bad"),
+    )
+    # Receipts of one digest have one text, so any of their values will do.
+    distinct = seen.groupBy(*columns).agg(
+        F.count("*").alias("n"),
+        *(F.max(c).alias(c) for c in ("empty", "double_space", "bad")),
+    )
     n = F.col("n")
 
     def total(condition):
@@ -57,9 +70,9 @@ def transaction_quality(tx: DataFrame, id_type: str = "int") -> DataFrame:
     return distinct.agg(
         F.coalesce(F.sum(n), zero).alias("total_transactions"),
         *(total(F.col(c).isNull()).alias(f"null_{c}") for c in columns),
-        total(trimmed() == "").alias("empty_products"),
-        total(trimmed().contains("  ")).alias("double_space_products"),
-        F.coalesce(F.sum(n * bad), zero).alias("bad_tokens"),
+        total(F.col("empty")).alias("empty_products"),
+        total(F.col("double_space")).alias("double_space_products"),
+        F.coalesce(F.sum(n * F.col("bad")), zero).alias("bad_tokens"),
         F.coalesce(F.sum(n - 1), zero).alias("duplicate_transactions"),
     )
 
@@ -79,9 +92,8 @@ def store_summary(tx: DataFrame) -> DataFrame:
 
 
 def daily_sales_per_store(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("store_id", F.col("transaction_date").try_cast("date").alias("date")).agg(
-        F.count("*").alias("num_transacciones")
-    )
+    """Receipts per store and day; ``per_day`` with another name."""
+    return per_day(tx, by=("store_id",))
 
 
 def write_per_store(df: DataFrame, path: str) -> None:
@@ -95,14 +107,23 @@ def sample_transactions(
     max_records: int | None = None,
     fraction: float | None = None,
     seed: int | None = None,
-    order_by: Sequence[str] = (),
+    order_by: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """At most ``max_records`` receipts, or a random ``fraction`` of them.
+    """The first ``max_records`` receipts by ``order_by``, or a random ``fraction`` of them.
 
-    ``order_by`` makes the first kind repeatable.
+    A sample has to be repeatable: the one kind needs an order, the other a seed.
     """
     if fraction is not None:
+        if seed is None:
+            raise ValueError("a fraction needs a seed")
         tx = tx.sample(fraction=fraction, seed=seed)
     if max_records is not None:
-        tx = (tx.orderBy(*order_by) if order_by else tx).limit(max_records)
+        if not order_by:
+            raise ValueError("max_records needs an order")
+        tx = tx.orderBy(*order_by).limit(max_records)
     return tx
+
+
+def in_hash_order(tx: DataFrame) -> list[Column]:
+    """An order for samples that does not follow files or stores."""
+    return [F.xxhash64(*tx.columns), *(F.col(c) for c in tx.columns)]

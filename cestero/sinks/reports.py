@@ -14,10 +14,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Folders below the report base, and the most cluster
-# assignments shown beside the full count.
+# Folders below the report base.
 SUMMARY, ANALYTICS, ADVANCED, METADATA = "summary", "analytics", "advanced", "metadata"
-CLUSTER_SAMPLE = 1000
 
 
 def now() -> str:
@@ -48,21 +46,21 @@ def write_document(spark: SparkSession, path: str, attrs: Mapping) -> None:
     one.write.mode("overwrite").text(path)
 
 
-def envelope(df: DataFrame, n: int, attrs: Mapping, data_name: str = "data") -> DataFrame:
+def envelope(df: DataFrame, n: int, attrs: Mapping) -> DataFrame:
     """One JSON document with the first ``n`` rows of ``df``, in their order.
 
     A limit gives one partition; numbering its rows keeps their order through
     the aggregation.
     """
     row = F.struct(F.monotonically_increasing_id().alias("at"), F.struct(*df.columns).alias("row"))
-    data = F.sort_array(F.collect_list("numbered"))["row"].alias(data_name)
+    data = F.sort_array(F.collect_list("numbered"))["row"].alias("data")
     closing = _columns({"generated_at": attrs.get("generated_at", now())})
     opening = _columns({k: v for k, v in attrs.items() if k != "generated_at"})
     return (
         df.limit(n)
         .select(row.alias("numbered"))
         .agg(data)
-        .select(_json(*opening, data_name, *closing))
+        .select(_json(*opening, "data", *closing))
     )
 
 
@@ -120,15 +118,13 @@ class Reports:
         return path
 
     def clusters(self, assignments: DataFrame, profiles: DataFrame, n_clusters: int) -> list[str]:
-        """A sample of the assignments with their full count, and the profiles."""
+        """All assignments, with their number in the manifest, and the profiles."""
         folder = self._at(ADVANCED, "clustering")
-        sample, summary = f"{folder}/customer_clusters.json", f"{folder}/cluster_summary.json"
+        members, summary = f"{folder}/customer_clusters.json", f"{folder}/cluster_summary.json"
         total = assignments.agg(F.count("*")).scalar()
-        attrs = {"n_clusters": n_clusters, "total_customers": total}
-        shown = envelope(assignments, CLUSTER_SAMPLE, attrs, "sample_assignments")
-        shown.write.mode("overwrite").text(sample)
+        write_series(assignments, members, {"n_clusters": n_clusters, "total_customers": total})
         write_series(profiles, summary, {"n_clusters": n_clusters})
-        return [sample, summary]
+        return [members, summary]
 
     def recommendations(self, df: DataFrame, kind: str = "product_associations") -> str:
         path = self._at(ADVANCED, "recommendations", f"{kind}.json")

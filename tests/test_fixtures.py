@@ -234,3 +234,44 @@ def test_empty_input(receipts, spark):
     assert customers.purchase_gaps(tx).count() == 0
     assert customers.frequency_tiers(tx).count() == 0
     assert values(quality.transaction_quality(tx)) == [(0,) * 9]
+
+
+def test_dirty_receipts_are_counted_as_they_are(receipts):
+    tx = receipts(
+        [
+            ("2024-01-01", 1, 10, "1 x 2"),
+            ("2024-01-01", 1, 10, "1 x 2"),
+            (None, None, 11, " 1  2 "),
+            ("2024-01-02", 2, None, ""),
+            ("2024-01-02", 2, 12, None),
+        ]
+    )
+    [row] = quality.transaction_quality(tx).collect()
+    assert row.asDict() == {
+        "total_transactions": 5,
+        "null_transaction_date": 1,
+        "null_store_id": 1,
+        "null_customer_id": 1,
+        "null_products": 1,
+        "empty_products": 1,
+        "double_space_products": 1,
+        "bad_tokens": 2,
+        "duplicate_transactions": 1,
+    }
+
+
+def test_samples_have_to_be_repeatable(receipts):
+    tx = receipts([(f"2024-01-{d:02}", d % 3, d, "1") for d in range(1, 29)])
+    with pytest.raises(ValueError, match="order"):
+        quality.sample_transactions(tx, max_records=3)
+    with pytest.raises(ValueError, match="seed"):
+        quality.sample_transactions(tx, fraction=0.5)
+    order = quality.in_hash_order(tx)
+    first = quality.sample_transactions(tx, 5, order_by=order).collect()
+    again = quality.sample_transactions(tx.repartition(7), 5, order_by=order).collect()
+    assert first == again and len({r.store_id for r in first}) > 1
+
+
+def test_no_store_is_an_error(receipts):
+    with pytest.raises(ValueError, match="no store"):
+        baskets.require_stores(receipts([]))

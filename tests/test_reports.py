@@ -57,13 +57,14 @@ def test_series(ranking, tmp_path):
     assert documents(f"{advice}/manifest")[0]["recommendation_type"] == "product_associations"
 
 
-def test_clusters_show_a_sample_and_count_all(spark, tmp_path):
+def test_clusters_show_every_assignment(spark, tmp_path):
     assignments = spark.range(1500).selectExpr("id AS customer_id", "id % 3 AS cluster")
     profiles = assignments.groupBy("cluster").count()
-    sample, summary = Reports(str(tmp_path)).clusters(assignments, profiles, 3)
-    [found] = documents(sample)
+    members, summary = Reports(str(tmp_path)).clusters(assignments, profiles, 3)
+    [found] = documents(f"{members}/manifest")
     assert (found["n_clusters"], found["total_customers"]) == (3, 1500)
-    assert len(found["sample_assignments"]) == 1000
+    shown = {(r["customer_id"], r["cluster"]) for r in documents(f"{members}/data")}
+    assert shown == {(k, k % 3) for k in range(1500)}
     assert len(documents(f"{summary}/data")) == 3
 
 
