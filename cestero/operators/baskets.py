@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,14 @@ def available_stores(tx: DataFrame) -> DataFrame:
     return tx.select("store_id").distinct().orderBy("store_id")
 
 
+def require_stores(tx: DataFrame) -> DataFrame:
+    """``available_stores``; it is an error if there is none."""
+    stores = available_stores(tx)
+    if stores.isEmpty():
+        raise ValueError("there is no store")
+    return stores
+
+
 def baskets(tx: DataFrame) -> DataFrame:
     """Each receipt with its products as an array."""
     return tx.select(
@@ -51,10 +59,10 @@ def baskets(tx: DataFrame) -> DataFrame:
     )
 
 
-def basket_stats(tx: DataFrame) -> DataFrame:
-    """Number of receipts and spread of the basket sizes, in one pass."""
-    sizes = tx.select(basket_units().alias("basket_size"))
-    return sizes.agg(
+def basket_stats(tx: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Number of receipts and spread of the basket sizes, also per ``by``, in one pass."""
+    sizes = tx.select(*by, basket_units().alias("basket_size"))
+    return sizes.groupBy(*by).agg(
         F.count("*").alias("num_transacciones"),
         F.avg("basket_size").alias("avg_basket_size"),
         F.min("basket_size").alias("min_basket_size"),
@@ -72,7 +80,7 @@ def multi_item_count(tx: DataFrame) -> DataFrame:
 
 
 def product_combinations(
-    tx: DataFrame, normalise: bool = False, ordered: bool = False
+    tx: DataFrame, normalise: bool = False, ordered: bool = False, by: Sequence[str] = ()
 ) -> DataFrame:
     """How often each exact basket of two products or more occurs.
 
@@ -81,10 +89,11 @@ def product_combinations(
     compares baskets as sets instead.
     """
     if normalise:
-        sets = tx.select(F.array_sort(F.array_distinct(basket_tokens(clean=True))).alias("items"))
-        combos = sets.where(F.size("items") >= 2).select(F.array_join("items", " ").alias("text"))
+        sets = tx.select(*by, F.array_sort(F.array_distinct(basket_tokens(clean=True))).alias("items"))
+        text = F.array_join("items", " ").alias("text")
+        combos = sets.where(F.size("items") >= 2).select(*by, text)
     else:
-        combos = multi_item(tx).select(trimmed().alias("text"))
-    counted = combos.groupBy("text").agg(F.count("*").alias("frequency"))
-    out = counted.select(F.split("text", " ").alias("items"), "frequency")
-    return out.orderBy(F.desc("frequency"), "items") if ordered else out
+        combos = multi_item(tx).select(*by, trimmed().alias("text"))
+    counted = combos.groupBy(*by, "text").agg(F.count("*").alias("frequency"))
+    out = counted.select(*by, F.split("text", " ").alias("items"), "frequency")
+    return out.orderBy(F.desc("frequency"), *by, "items") if ordered else out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -14,14 +15,16 @@ from cestero.operators.ranking import exact_ntiles
 _REPEATS_PER_TASK_ROW = 100_000
 
 
-def purchase_frequency(tx: DataFrame, ordered: bool = False) -> DataFrame:
-    """Number of purchases and first and last day of every customer."""
-    out = tx.groupBy("customer_id").agg(
+def purchase_frequency(
+    tx: DataFrame, ordered: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
+    """Number of purchases and first and last day of every customer, and of every ``by``."""
+    out = tx.groupBy(*by, "customer_id").agg(
         F.count("*").alias("num_compras"),
         F.min("transaction_date").alias("primera_compra"),
         F.max("transaction_date").alias("ultima_compra"),
     )
-    return out.orderBy(F.desc("num_compras"), "customer_id") if ordered else out
+    return out.orderBy(F.desc("num_compras"), *by, "customer_id") if ordered else out
 
 
 def _purchase_counts(tx: DataFrame) -> DataFrame:

@@ -7,17 +7,25 @@ per receipt, and what follows the first shuffle is as small as the calendar.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cestero.functions import day, spread, trend_label
 
 
-def per_day(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
-    """Receipts per calendar day; unreadable dates share the NULL day."""
+def per_day(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
+    """Receipts per calendar day, and per ``by``; unreadable dates share the NULL day.
+
+    ``by`` are columns that this and what is rolled up from it keep apart, such
+    as the store: counts combine before they shuffle, however large a store is.
+    """
     return (
-        tx.select(day(date_column).alias("date"))
-        .groupBy("date")
+        tx.select(*by, day(date_column).alias("date"))
+        .groupBy(*by, "date")
         .agg(F.count("*").alias("num_transacciones"))
     )
 
@@ -54,7 +62,10 @@ def daily_sales_stats(tx: DataFrame, date_column: str = "transaction_date") -> D
 
 
 def weekly_sales(
-    tx: DataFrame, date_column: str = "transaction_date", iso_year: bool = False
+    tx: DataFrame,
+    date_column: str = "transaction_date",
+    iso_year: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Receipts per week, with the first and last day sold in it.
 
@@ -64,10 +75,10 @@ def weekly_sales(
     """
     year = F.extract(F.lit("YEAROFWEEK"), "date") if iso_year else F.year("date")
     return (
-        per_day(tx, date_column)
-        .groupBy(year.alias("year"), F.weekofyear("date").alias("week"))
+        per_day(tx, date_column, by)
+        .groupBy(*by, year.alias("year"), F.weekofyear("date").alias("week"))
         .agg(_total(), F.min("date").alias("inicio_semana"), F.max("date").alias("fin_semana"))
-        .orderBy("year", "week")
+        .orderBy(*by, "year", "week")
     )
 
 
@@ -81,16 +92,19 @@ def weekly_sales_stats(tx: DataFrame, date_column: str = "transaction_date") ->
     )
 
 
-def monthly_sales(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
+def monthly_sales(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
     return (
-        per_day(tx, date_column)
+        per_day(tx, date_column, by)
         .groupBy(
+            *by,
             F.year("date").alias("year"),
             F.month("date").alias("month"),
             F.date_format("date", "MMMM").alias("month_name"),
         )
         .agg(_total())
-        .orderBy("year", "month")
+        .orderBy(*by, "year", "month")
     )
 
 
@@ -104,16 +118,19 @@ def monthly_sales_stats(tx: DataFrame, date_column: str = "transaction_date") ->
     )
 
 
-def day_of_week_sales(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
+def day_of_week_sales(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
     """Receipts per weekday, 1 for Sunday to 7 for Saturday."""
     return (
-        per_day(tx, date_column)
+        per_day(tx, date_column, by)
         .groupBy(
+            *by,
             F.dayofweek("date").alias("day_of_week"),
             F.date_format("date", "EEEE").alias("day_name"),
         )
         .agg(_total())
-        .orderBy("day_of_week")
+        .orderBy(*by, "day_of_week")
     )
 
 
