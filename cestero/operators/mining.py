@@ -1,13 +1,13 @@
 """Frequent itemsets and association rules between products.
 
-The search itself is Spark's parallel FP-growth. Around it, items that cannot
-be frequent are taken out of the baskets first, and rules are joined from the
+The search itself is Spark's parallel FP-growth. Rules are joined from the
 itemsets, so that they can be made again with another confidence, or from
 stored itemsets, without a new search.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -65,21 +65,23 @@ def mine_itemsets(
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     num_partitions: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] = stage_table,
 ) -> MinedItemsets:
     """Search the frequent itemsets of ``baskets`` (column ``items``).
 
-    This runs jobs. The names of the frequent items come to the driver, as they
-    do in Spark's FP-growth anyway; see ``frequent_items`` for their bound.
+    This runs jobs. FP-growth itself counts the items and leaves out what is too
+    rare; it keeps the frequent names on the driver (see ``frequent_items`` for
+    their bound), the plan has none. ``stage`` writes the result, as the block
+    ``staging`` yields it, for instance; without one it stays until the process
+    ends.
     """
     spark = baskets.sparkSession
-    frequent = frequent_items(baskets, min_support).collect()
-    n_baskets = next((r["freq"] for r in frequent if r["item"] is None), 0)
-    names = [r["item"] for r in frequent if r["item"] is not None]
     slim = (
         baskets.where(F.col("items").isNotNull())
-        .select(F.filter("items", lambda item: item.isin(names)).alias("items"))
+        .select("items")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    n_baskets = slim.count()
     search = FPGrowth(
         itemsCol="items",
         minSupport=min_support,
@@ -92,7 +94,7 @@ def mine_itemsets(
         model = search.fit(slim)
         # The model searches anew at each use, hence the table.
         itemsets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
-        return MinedItemsets(stage_table(itemsets), n_baskets, model)
+        return MinedItemsets(stage(itemsets), n_baskets, model)
     finally:
         slim.unpersist()
 

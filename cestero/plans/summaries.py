@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -9,8 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cestero.functions import top
-from cestero.operators import baskets, customers, mining, products, summary, temporal
-from cestero.sinks.mining import MiningParameters, load_mining, save_mining
+from cestero.operators import baskets, customers, mining, products, quality, summary, temporal
+from cestero.sinks.mining import MiningParameters, fingerprint, load_mining, save_mining
+from cestero.sinks.shared import stage_table
 
 
 def executive_summary(
@@ -27,8 +29,8 @@ def executive_summary(
     from ``product_counts`` if the caller has stored them, else from
     ``exploded`` if given, else from the basket texts.
     """
-    metrics = summary.basic_metrics(tx)
     if product_counts is None:
+        metrics = summary.basic_metrics(tx)
         product_counts = units_per_product(tx, _id_type(product_categories), exploded)
     else:
         metrics = _metrics_from_counts(tx, product_counts)
@@ -151,24 +153,30 @@ def market_basket(
     min_support: float = mining.MIN_SUPPORT,
     min_confidence: float = mining.MIN_CONFIDENCE,
     reuse_path: str | None = None,
-    source: str = "",
+    source: str | None = None,
     num_partitions: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] = stage_table,
 ) -> dict[str, object]:
     """Frequent itemsets and rules of receipts, or of baskets with ``items``.
 
-    With ``reuse_path`` the result of an earlier search is taken from there if
-    it was made with the same parameters and the same ``source`` name, and is
-    stored there otherwise.
+    With ``reuse_path`` the result of an earlier search is taken from there if it
+    was made with the same parameters, the same ``source`` name, which has to be
+    given, and of the same baskets; it is stored there otherwise. Reading the
+    baskets once for their fingerprint is the price of not returning old results.
     """
-    parameters = MiningParameters(source, float(min_support), float(min_confidence))
+    sets = baskets_or_tx
+    if "items" not in sets.columns:
+        sets = mining.mining_baskets(sets)
     if reuse_path:
+        if not source:
+            raise ValueError("reuse_path needs the name of the source")
+        parameters = MiningParameters(
+            source, fingerprint(sets), float(min_support), float(min_confidence)
+        )
         stored = load_mining(baskets_or_tx.sparkSession, reuse_path, parameters)
         if stored:
             return {"frequent_itemsets": stored[0], "association_rules": stored[1], "model": None}
-    sets = baskets_or_tx
-    if "items" not in sets.columns:
-        sets = mining.mining_baskets(sets)
-    mined = mining.mine_itemsets(sets, min_support, min_confidence, num_partitions)
+    mined = mining.mine_itemsets(sets, min_support, min_confidence, num_partitions, stage)
     rules = mining.association_rules(mined.itemsets, mined.n_baskets, min_confidence)
     if reuse_path:
         save_mining(mined.itemsets, rules, reuse_path, parameters)
@@ -185,13 +193,37 @@ def product_summary(
     run_market_basket: bool = True,
     min_support: float = mining.MIN_SUPPORT,
     min_confidence: float = mining.MIN_CONFIDENCE,
+    mining_input: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] = stage_table,
 ) -> dict[str, object]:
-    """Product frames; a failing search for patterns is raised, not hidden."""
+    """Product frames; a failing search for patterns is raised, not hidden.
+
+    Patterns are sought in the baskets of ``tx``, or in ``mining_input``.
+    """
+    searched = tx if mining_input is None else mining_input
     return {
         "top_products": products.product_sales(exploded),
         "store_products": products.top_products_per_store(exploded),
         "combinations": baskets.product_combinations(tx),
         "market_basket": (
-            market_basket(tx, min_support, min_confidence) if run_market_basket else None
+            market_basket(searched, min_support, min_confidence, stage=stage)
+            if run_market_basket
+            else None
         ),
     }
+
+
+def store_summaries(tx: DataFrame, exploded: DataFrame) -> dict[str, DataFrame]:
+    """What the other summaries hold, for each store by itself."""
+    by = ("store_id",)
+    return {
+        "store_summary": quality.store_summary(tx),
+        "daily_per_store": quality.daily_sales_per_store(tx),
+        "weekly_per_store": temporal.weekly_sales(tx, by=by),
+        "monthly_per_store": temporal.monthly_sales(tx, by=by),
+        "day_of_week_per_store": temporal.day_of_week_sales(tx, by=by),
+        "frequency_per_store": customers.purchase_frequency(tx, by=by),
+        "basket_stats_per_store": baskets.basket_stats(tx, by=by),
+        "combinations_per_store": baskets.product_combinations(tx, by=by),
+        "products_per_store": products.top_products_per_store(exploded),
+    }

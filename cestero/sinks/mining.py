@@ -7,7 +7,7 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEPARATOR = ","
@@ -15,9 +15,10 @@ SEPARATOR = ","
 
 @dataclass(frozen=True)
 class MiningParameters:
-    """What a stored search was made with; ``source`` names its input."""
+    """What a stored search was made with: its input, by a name and a fingerprint, and how."""
 
     source: str
+    fingerprint: str
     min_support: float
     min_confidence: float
 
@@ -27,28 +28,59 @@ class MiningParameters:
         return f"{path.rstrip('/')}/{digest[:20]}"
 
 
+def fingerprint(baskets: DataFrame) -> str:
+    """Number of baskets and a sum of their hashes, whatever their order, in one pass."""
+    each = F.xxhash64(F.sort_array("items")).cast("decimal(38,0)")
+    row = baskets.agg(F.count("*"), F.coalesce(F.sum(each), F.lit(0))).first()
+    return f"{row[0]}:{row[1]}"
+
+
 def flat(df: DataFrame) -> DataFrame:
-    """Array columns joined by commas, as CSV can hold them."""
+    """Array columns joined by commas, as CSV can hold them.
+
+    A comma within an item is written as ``%2C``, a percent sign as ``%25``.
+    """
+
+    def joined(column: str) -> Column:
+        items = F.transform(
+            column, lambda i: F.replace(F.replace(i, F.lit("%"), F.lit("%25")), F.lit(","), F.lit("%2C"))
+        )
+        return F.array_join(items, SEPARATOR).alias(column)
+
     arrays = {name for name, kind in df.dtypes if kind.startswith("array")}
-    return df.select(
-        *(F.array_join(c, SEPARATOR).alias(c) if c in arrays else F.col(c) for c in df.columns)
+    return df.select(*(joined(c) if c in arrays else F.col(c) for c in df.columns))
+
+
+def _items(column: str) -> Column:
+    """The items that ``flat`` has joined."""
+    return F.transform(
+        F.split(column, SEPARATOR),
+        lambda i: F.replace(F.replace(i, F.lit("%2C"), F.lit(",")), F.lit("%25"), F.lit("%")),
     )
 
 
+# Items keep outer spaces, quotes and backslashes.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    flat(df).write.mode("overwrite").option("header", True).csv(path)
+    flat(df).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_itemsets_csv(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema("items string, freq bigint").option("header", True).csv(path)
-    return raw.withColumn("items", F.split(F.trim("items"), SEPARATOR))
+    raw = spark.read.schema("items string, freq bigint").options(**_CSV).csv(path)
+    return raw.withColumn("items", _items("items"))
 
 
 def read_rules_csv(spark: SparkSession, path: str) -> DataFrame:
     fields = "antecedent string, consequent string, confidence double, lift double, support double"
-    raw = spark.read.schema(fields).option("header", True).csv(path)
-    arrays = {c: F.split(F.trim(c), SEPARATOR) for c in ("antecedent", "consequent")}
-    return raw.withColumns(arrays)
+    raw = spark.read.schema(fields).options(**_CSV).csv(path)
+    return raw.withColumns({c: _items(c) for c in ("antecedent", "consequent")})
 
 
 def save_mining(
@@ -70,7 +102,8 @@ def load_mining(
     """Stored itemsets and rules, if they were made with just these parameters."""
     path = parameters.folder(path)
     try:
-        stored = spark.read.schema("source string, min_support double, min_confidence double")
+        fields = "source string, fingerprint string, min_support double, min_confidence double"
+        stored = spark.read.schema(fields)
         used = stored.parquet(f"{path}/parameters").first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":

@@ -117,3 +117,32 @@ def test_product_summary(planted):
     assert frames["top_products"].count() == 4
     assert frames["store_products"].count() == 4
     assert frames["combinations"].count() == 3
+
+
+def test_stored_search_of_other_baskets_is_not_used(planted, tmp_path):
+    path = str(tmp_path / "mined")
+    with pytest.raises(ValueError, match="source"):
+        market_basket(planted, 0.1, 0.3, reuse_path=path)
+    market_basket(planted, 0.1, 0.3, reuse_path=path, source="shop")
+    fewer = planted.where("products <> '3'").limit(3)
+    found = market_basket(fewer, 0.1, 0.3, reuse_path=path, source="shop")
+    assert found["model"] is not None
+
+
+def test_items_with_marks_in_csv_files(spark, tmp_path):
+    rows = [(["a,b", "c"], 3), (["100%", "%2C"], 2), ([' "x" ', "back\\slash"], 1), (["z"], 1)]
+    sets = spark.createDataFrame(rows, "items array<string>, freq bigint")
+    files.write_csv(sets, f"{tmp_path}/sets")
+    back = files.read_itemsets_csv(spark, f"{tmp_path}/sets")
+    assert sorted(map(tuple, back.collect())) == sorted((i, n) for i, n in rows)
+
+
+def test_search_stages_where_it_is_told(spark, planted):
+    kept = []
+
+    def stage(df):
+        kept.append(df)
+        return df.cache()
+
+    found = market_basket(planted, 0.1, 0.3, stage=stage)
+    assert len(kept) == 1 and found["frequent_itemsets"].count()
