@@ -40,8 +40,7 @@ def ingest(
     return paths
 
 
-def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """Receipts of an earlier load; a filter on the store skips the others."""
-    return spark.read.parquet(f"{target.rstrip('/')}/transactions").select(
-        "transaction_date", "store_id", "customer_id", "products"
-    )
+def read_ingested(spark: SparkSession, target: str, id_type: str = "int") -> DataFrame:
+    """Receipts of an earlier load, maybe none; a filter on the store skips the others."""
+    schema = f"transaction_date date, store_id int, customer_id {id_type}, products string"
+    return spark.read.schema(schema).parquet(f"{target.rstrip('/')}/transactions")

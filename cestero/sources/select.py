@@ -20,6 +20,10 @@ ENVIRONMENT = {
         "database": "POSTGRES_DB",
         "user": "POSTGRES_USER",
         "password": "POSTGRES_PASSWORD",
+        "partition_column": "POSTGRES_PARTITION_COLUMN",
+        "partitions": "POSTGRES_PARTITIONS",
+        "lower": "POSTGRES_PARTITION_LOWER",
+        "upper": "POSTGRES_PARTITION_UPPER",
     },
     "s3": {
         "base": "S3_DATA_BASE_URI",

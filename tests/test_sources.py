@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from cestero.sinks.delimited import write_delimited
 from cestero.sources import DelimitedSource, JdbcSource, ingest, open_source
@@ -99,13 +100,18 @@ def test_a_store_with_most_receipts_is_written_by_several_tasks(spark, tmp_path)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000
 
 
+LOGIN = {"host": "db", "user": "reader", "password": "secret"}
+
+
 def test_choice_of_source(spark, base):
     assert isinstance(open_source(spark, "S3", base=base), DelimitedSource)
-    assert isinstance(open_source(spark, "Postgres", host="db"), JdbcSource)
+    assert isinstance(open_source(spark, "Postgres", **LOGIN), JdbcSource)
     with pytest.raises(ValueError, match="unknown source"):
         open_source(spark, "ftp")
     with pytest.raises(ValueError, match="base path"):
         open_source(spark, "s3")
+    with pytest.raises(ValueError, match="user and password"):
+        open_source(spark, "postgres", host="db")
 
 
 def test_settings_from_environment():
@@ -122,10 +128,39 @@ def test_settings_from_environment():
 
 def test_jdbc_options(spark):
     cut = Slices("transaction_date", "2020-01-01", "2025-01-01", 64)
-    source = JdbcSource(spark, host="db", database="shop", slices={"transactions": cut})
+    source = JdbcSource(spark, **LOGIN, database="shop", slices={"transactions": cut})
     options = source.options("transactions")
     assert options["url"] == "jdbc:postgresql://db:5432/shop"
     assert options["partitionColumn"] == "transaction_date"
     assert (options["lowerBound"], options["upperBound"]) == ("2020-01-01", "2025-01-01")
     assert options["numPartitions"] == "64"
     assert "partitionColumn" not in source.options("categories")
+    assert source.cut_of("transactions") == cut
+
+
+def test_receipts_are_read_in_parallel(spark):
+    with pytest.raises(ValueError, match="number of partitions"):
+        JdbcSource(spark, **LOGIN).transactions()
+    variables = {
+        "POSTGRES_HOST": "db",
+        "POSTGRES_USER": "reader",
+        "POSTGRES_PASSWORD": "secret",
+        "POSTGRES_PARTITION_COLUMN": "store_id",
+        "POSTGRES_PARTITIONS": "32",
+        "POSTGRES_PARTITION_LOWER": "1",
+        "POSTGRES_PARTITION_UPPER": "900",
+    }
+    source = open_source(spark, **settings_from(variables))
+    assert source.cut_of("transactions") == Slices("store_id", "1", "900", 32)
+    options = source.options("transactions", source.cut_of("transactions"))
+    assert (options["partitionColumn"], options["numPartitions"]) == ("store_id", "32")
+    bounds = "(SELECT min(store_id) AS low, max(store_id) AS high FROM transactions) AS bounds"
+    assert source.bounds_query("transactions") == bounds
+
+
+def test_a_load_without_receipts_can_be_read(spark, receipts, tmp_path):
+    dated = receipts([]).withColumn("transaction_date", F.col("transaction_date").cast("date"))
+    write_transactions(dated, f"{tmp_path}/transactions")
+    found = read_ingested(spark, str(tmp_path))
+    assert found.columns == ["transaction_date", "store_id", "customer_id", "products"]
+    assert found.count() == 0
