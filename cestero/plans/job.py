@@ -1,24 +1,37 @@
-"""Batch job: executive summary from delimited files to JSON reports.
+"""Batch jobs from delimited files to JSON reports.
 
     python -m cestero.plans.job --data-base-uri s3a://in --output-prefix s3a://out
+    python -m cestero.plans.job --job analytics --min-support 0.02 ...
+    python -m cestero.plans.job --job sample --max-records 1000 ...
 
-Arguments left out come from the environment of a file source, if set there.
+The executive summary is the default. Arguments left out come from the
+environment of a file source, if set there.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from cestero.operators.quality import sample_transactions
+from cestero.operators.baskets import explode_transactions, require_stores
+from cestero.operators.mining import MIN_CONFIDENCE, MIN_SUPPORT
+from cestero.operators.quality import in_hash_order, sample_transactions
 from cestero.operators.summary import basic_metrics
 from cestero.operators.temporal import daily_sales
-from cestero.plans.summaries import executive_summary, units_per_product
+from cestero.plans.summaries import (
+    customer_summary,
+    executive_summary,
+    product_summary,
+    store_summaries,
+    temporal_summary,
+    units_per_product,
+)
 from cestero.sinks.reports import Reports
-from cestero.sinks.shared import staging
+from cestero.sinks.shared import stage_table, staging
 from cestero.sources import DelimitedSource
 from cestero.sources.select import settings_from
 
@@ -33,9 +46,18 @@ RANKINGS = {
 # Fixed value: receipts in a sample.
 SAMPLE_SIZE = 5000
 
+# How runs are named in the metadata.
+SUMMARY_RUN = ("01_executive_summary", "generate_executive_summary")
+SAMPLE_RUN = ("02_sample_summary", "sample")
+ANALYTICS_RUN = ("03_analytics", "analytics")
+
 
 def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Executive summary of retail receipts.")
+    parser.add_argument("--job", choices=["summary", "analytics", "sample"], default="summary")
+    parser.add_argument("--min-support", type=float, default=MIN_SUPPORT, help="of itemsets")
+    parser.add_argument("--min-confidence", type=float, default=MIN_CONFIDENCE, help="of rules")
+    parser.add_argument("--max-records", type=int, default=SAMPLE_SIZE, help="of a sample")
     parser.add_argument("--data-base-uri", help="base path of the input files")
     parser.add_argument("--transactions-path", help="folder of the receipt files")
     parser.add_argument("--categories-path", help="file of the category names")
@@ -44,8 +66,8 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--separator", help="column separator of the input")
     parser.add_argument("--job-name", default="executive-summary", help="application name")
     parser.add_argument("--top-n", type=int, default=10, help="length of the rankings")
-    parser.add_argument("--dag-id", default="01_executive_summary", help="for the metadata")
-    parser.add_argument("--task-id", default="generate_executive_summary", help="for the metadata")
+    parser.add_argument("--dag-id", default=SUMMARY_RUN[0], help="for the metadata")
+    parser.add_argument("--task-id", default=SUMMARY_RUN[1], help="for the metadata")
     return parser.parse_args(argv)
 
 
@@ -66,13 +88,15 @@ def run(
     source: DelimitedSource,
     output: str,
     top_n: int = 10,
-    dag_id: str = "01_executive_summary",
-    task_id: str = "generate_executive_summary",
+    dag_id: str = SUMMARY_RUN[0],
+    task_id: str = SUMMARY_RUN[1],
 ) -> None:
-    """The text is parsed once into columns, which each result then reads singly."""
+    """Basket texts are read once, where they lie, for the units per product; only
+    the two narrow columns that several results share are stored."""
     with staging(source.spark) as stage:
-        tx = stage(source.transactions())
-        product_counts = stage(units_per_product(tx, source.id_type))
+        receipts = source.transactions()
+        tx = stage(receipts.select("transaction_date", "customer_id"))
+        product_counts = stage(units_per_product(receipts, source.id_type))
         frames = executive_summary(
             tx,
             source.product_categories(),
@@ -86,16 +110,76 @@ def run(
 
 
 def run_sample(source: DelimitedSource, output: str, max_records: int = SAMPLE_SIZE) -> None:
-    """Daily activity in some receipts only, to try an installation out."""
+    """Daily activity in some receipts only, to try an installation out.
+
+    Which ones a hash of the whole receipt decides, so every run takes the same,
+    from all stores.
+    """
     with staging(source.spark) as stage:
+        tx = source.transactions()
         # Stored, so that all reports are about the same receipts.
-        sample = stage(sample_transactions(source.transactions(), max_records))
+        sample = stage(sample_transactions(tx, max_records, order_by=in_hash_order(tx)))
         reports = Reports(output)
         reports.time_series(daily_sales(sample), "sample_summary", "date", "num_transacciones")
         metrics = basic_metrics(sample)
         info = {total: metrics.select(total).scalar() for total in metrics.columns}
         info |= {"max_records": max_records, "status": "success"}
-        reports.run_metadata(source.spark, "02_sample_summary", "sample", info)
+        reports.run_metadata(source.spark, *SAMPLE_RUN, info)
+
+
+def analytics_frames(
+    tx: DataFrame,
+    exploded: DataFrame,
+    min_support: float = MIN_SUPPORT,
+    min_confidence: float = MIN_CONFIDENCE,
+    mining_input: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] = stage_table,
+) -> dict[str, DataFrame]:
+    """All frames of the temporal, customer and product summaries and per store."""
+    found = {**temporal_summary(tx), **customer_summary(tx)}
+    found |= product_summary(
+        tx, exploded, True, min_support, min_confidence, mining_input, stage
+    )
+    mined = found.pop("market_basket")
+    found |= {name: mined[name] for name in ("frequent_itemsets", "association_rules")}
+    return found | store_summaries(tx, exploded)
+
+
+def run_analytics(
+    source: DelimitedSource,
+    output: str,
+    min_support: float = MIN_SUPPORT,
+    min_confidence: float = MIN_CONFIDENCE,
+    mining_input: DataFrame | None = None,
+) -> list[str]:
+    """Every frame as a series below ``analytics``; returns their names."""
+    with staging(source.spark) as stage:
+        # Parsed once; each frame reads the columns it needs.
+        tx = stage(source.transactions())
+        require_stores(tx)
+        exploded = explode_transactions(tx, id_type=source.id_type)
+        frames = analytics_frames(tx, exploded, min_support, min_confidence, mining_input, stage)
+        reports = Reports(output)
+        for name, frame in frames.items():
+            reports.time_series(frame, name, frame.columns[0], frame.columns[-1])
+        info = {"min_support": min_support, "min_confidence": min_confidence, "status": "success"}
+        reports.run_metadata(source.spark, *ANALYTICS_RUN, info)
+    return list(frames)
+
+
+def analytics_schemas(tx: DataFrame, exploded: DataFrame) -> dict[str, StructType]:
+    """Of the series that ``run_analytics`` writes, without searching for patterns."""
+    rules = "antecedent array<string>, consequent array<string>, "
+    found = {**temporal_summary(tx), **customer_summary(tx)}
+    found |= product_summary(tx, exploded, run_market_basket=False)
+    del found["market_basket"]
+    found |= store_summaries(tx, exploded)
+    return {name: frame.schema for name, frame in found.items()} | {
+        "frequent_itemsets": StructType.fromDDL("items array<string>, freq bigint"),
+        "association_rules": StructType.fromDDL(
+            rules + "confidence double, lift double, support double"
+        ),
+    }
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -117,7 +201,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     settings.pop("kind")
     source = DelimitedSource(spark, **settings)
     try:
-        run(source, args.output_prefix, args.top_n, args.dag_id, args.task_id)
+        if args.job == "sample":
+            run_sample(source, args.output_prefix, args.max_records)
+        elif args.job == "analytics":
+            run_analytics(source, args.output_prefix, args.min_support, args.min_confidence)
+        else:
+            run(source, args.output_prefix, args.top_n, args.dag_id, args.task_id)
     finally:
         spark.stop()
 

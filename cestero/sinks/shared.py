@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name below ``spark.checkpoint.dir``.
+    """A new folder name below the session's checkpoint folder.
 
-    Only a local session without that setting gets a temporary folder.
+    That is ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given; on
+    a cluster it has to be one that all executors share, which a path alone does
+    not show (a mounted one is ``file:`` too). Only a local session without any
+    gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        context = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = context.get() if context.isDefined() else None
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -23,13 +30,33 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cestero-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def passing_folder(spark: SparkSession) -> str:
+    """A ``shared_folder`` that is removed when this process ends, if its session still runs.
+
+    For what lazy results go on reading, so that no block can close around it.
+    """
+    folder = shared_folder(spark)
+
+    def remove() -> None:
+        if not spark._jsc.sc().isStopped():
+            remove_folder(spark, folder)
+
+    atexit.register(remove)
+    return folder
+
+
 def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and go on from what was written.
 
     Unlike a cache this does not compete for memory, survives the loss of
     executors, and lets later steps read single columns.
     """
-    path = path or shared_folder(df.sparkSession)
+    path = path or passing_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -41,5 +68,4 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield lambda df: stage_table(df, f"{folder}/{uuid.uuid4().hex}")
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, folder)
