@@ -16,7 +16,7 @@ tx AS (
          c_nationkey AS store_id, o_custkey AS customer_id, products
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN basket ON o_orderkey = l_orderkey),
 ex AS (
-  SELECT transaction_date, store_id, customer_id, CAST(u AS BIGINT) AS product_id
+  SELECT transaction_date, store_id, customer_id, u AS token, TRY_CAST(u AS BIGINT) AS product_id
   FROM (SELECT transaction_date, store_id, customer_id, unnest(string_split(trim(products), ' ')) AS u FROM tx)),
 pc AS (SELECT p_partkey AS product_id, CAST(substr(p_brand, 7) AS INTEGER) AS category_id
        FROM part WHERE p_partkey % 50 <> 0),
@@ -188,10 +188,10 @@ SELECT items, freq FROM sets JOIN names USING (i) ORDER BY freq DESC, items LIMI
 SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(support, 6) AS support FROM rules
 """,
     "top_rules": """
-SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM rules ORDER BY round(lift, 6) DESC, round(confidence, 6) DESC, antecedent, consequent LIMIT 20
+SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(support, 6) AS support FROM rules ORDER BY round(lift, 6) DESC, round(confidence, 6) DESC, antecedent, consequent LIMIT 20
 """,
     "strong_rules": """
-SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM rules WHERE lift > 1.02 AND confidence > 0.5
+SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(support, 6) AS support FROM rules WHERE lift > 1.02 AND confidence > 0.5
 """,
     "mining_counts": """
 SELECT (SELECT count(*) FROM sets) AS num_itemsets, (SELECT count(*) FROM rules) AS num_rules, (SELECT count(*) FROM rules WHERE lift > 1.02 AND confidence > 0.5) AS num_strong_rules
@@ -242,9 +242,9 @@ SELECT CAST(dayofweek(transaction_date) + 1 AS INTEGER) AS row, CAST(month(trans
        count(*) AS value FROM tx GROUP BY 1, 2
 """,
     "report_clusters": """
-SELECT num_compras AS cluster, count(*) AS num_clientes, 4 AS n_clusters,
-       (SELECT count(*) FROM freq) AS total_customers, CAST((SELECT least(count(*), 1000) FROM freq) AS INTEGER) AS sample_size
-FROM freq GROUP BY 1
+SELECT customer_id, num_compras AS cluster, num_clientes,
+       CAST((SELECT count(DISTINCT num_compras) FROM freq) AS INTEGER) AS n_clusters, (SELECT count(*) FROM freq) AS total_customers
+FROM freq JOIN (SELECT num_compras, count(*) AS num_clientes FROM freq GROUP BY 1) USING (num_compras)
 """,
     "report_run_metadata": """
 SELECT 'daily' AS dag_id, 'summary' AS task_id, 'success' AS status,
@@ -267,7 +267,7 @@ SELECT count(*) AS total_transactions, count(*) FILTER (transaction_date IS NULL
        count(*) FILTER (store_id IS NULL) AS null_store_id, count(*) FILTER (customer_id IS NULL) AS null_customer_id,
        count(*) FILTER (products IS NULL) AS null_products, count(*) FILTER (trim(products) = '') AS empty_products,
        count(*) FILTER (trim(products) LIKE '%  %') AS double_space_products,
-       (SELECT count(*) FROM ex WHERE product_id IS NULL) AS bad_tokens,
+       (SELECT count(*) FROM ex WHERE product_id IS NULL AND token <> '') AS bad_tokens,
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT transaction_date, store_id, customer_id, products FROM tx)) AS duplicate_transactions
 FROM tx
 """,
@@ -287,24 +287,29 @@ FROM (SELECT * FROM tx ORDER BY transaction_id LIMIT 5000) GROUP BY 1
     "rfm_preview": """
 SELECT * FROM rfm ORDER BY R_score DESC, F_score DESC, customer_id LIMIT 20
 """,
-    "customer_summary": """
-SELECT 'frequency' AS section, count(*) AS num_rows FROM freq
-UNION ALL SELECT 'time_between', count(*) FROM cgap
-UNION ALL SELECT 'rfm', count(*) FROM rfm
-""",
-    "temporal_summary": """
-SELECT 'daily' AS section, count(*) AS num_rows FROM daily
-UNION ALL SELECT 'weekly', count(*) FROM (SELECT DISTINCT year(date), weekofyear(date) FROM daily)
-UNION ALL SELECT 'monthly', count(*) FROM (SELECT DISTINCT year(date), month(date) FROM daily)
-UNION ALL SELECT 'day_of_week', count(DISTINCT dayofweek(date)) FROM daily
-UNION ALL SELECT 'trends', count(*) FROM daily
-""",
-    "product_summary": """
-SELECT 'top_products' AS section, count(*) AS num_rows FROM (SELECT product_id FROM ex GROUP BY 1)
-UNION ALL SELECT 'store_products', count(*) FROM (
-  SELECT row_number() OVER (PARTITION BY store_id ORDER BY count(*) DESC) AS r FROM ex GROUP BY store_id, product_id) WHERE r <= 10
-UNION ALL SELECT 'combinations', count(*) FROM (
-  SELECT trim(products) FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1)
+    "weekly_sales_per_store": """
+SELECT store_id, CAST(year(transaction_date) AS INTEGER) AS year, CAST(weekofyear(transaction_date) AS INTEGER) AS week,
+       count(*) AS num_transacciones, min(transaction_date) AS inicio_semana, max(transaction_date) AS fin_semana FROM tx GROUP BY 1, 2, 3
+""",
+    "monthly_sales_per_store": """
+SELECT store_id, CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
+       monthname(transaction_date) AS month_name, count(*) AS num_transacciones FROM tx GROUP BY 1, 2, 3, 4
+""",
+    "day_of_week_sales_per_store": """
+SELECT store_id, CAST(dayofweek(transaction_date) + 1 AS INTEGER) AS day_of_week, dayname(transaction_date) AS day_name,
+       count(*) AS num_transacciones FROM tx GROUP BY 1, 2, 3
+""",
+    "purchase_frequency_per_store": """
+SELECT store_id, customer_id, count(*) AS num_compras, min(transaction_date) AS primera_compra, max(transaction_date) AS ultima_compra
+FROM tx GROUP BY 1, 2
+""",
+    "basket_stats_per_store": """
+SELECT store_id, count(*) AS num_transacciones, round(avg(s), 6) AS avg_basket_size, min(s) AS min_basket_size, max(s) AS max_basket_size
+FROM (SELECT store_id, CAST(len(string_split(trim(products), ' ')) AS INTEGER) AS s FROM tx) GROUP BY 1
+""",
+    "product_combinations_per_store": """
+SELECT store_id, array_to_string(string_split(trim(products), ' '), ',') AS items, count(*) AS frequency
+FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1, 2
 """,
     "csv_roundtrip": """
 SELECT transaction_date, store_id, customer_id, products FROM tx
@@ -324,7 +329,88 @@ SAME_ROWS = {
     "report_distribution": "purchase_frequency_histogram",
 }
 
+# Sections of the summaries: the statement of each frame, and its columns in
+# order; a name that ends in ~ is a double.
+SECTIONS = {
+    "temporal_summary": {
+        "daily": ("daily_sales", "date num_transacciones clientes_unicos"),
+        "weekly": ("weekly_sales", "year week num_transacciones inicio_semana fin_semana"),
+        "monthly": ("monthly_sales", "year month month_name num_transacciones"),
+        "day_of_week": ("day_of_week_sales", "day_of_week day_name num_transacciones"),
+        "trends": ("sales_trend", "date num_transacciones moving_avg_7d~"),
+    },
+    "customer_summary": {
+        "frequency": ("purchase_frequency", "customer_id num_compras primera_compra ultima_compra"),
+        "time_between": (
+            "time_between_purchases",
+            "customer_id promedio_dias_entre_compras~ min_dias max_dias num_intervalos",
+        ),
+        "rfm": ("rfm_segmentation", "customer_id frequency recency R_score F_score RFM_segment"),
+    },
+    "product_summary": {
+        "top_products": ("product_sales", "product_id num_ventas"),
+        "store_products": ("top_products_per_store", "store_id product_id num_ventas rank"),
+        "combinations": ("product_combinations", "items frequency"),
+        "frequent_itemsets": ("frequent_itemsets", "items freq"),
+        "association_rules": (
+            "association_rules",
+            "antecedent consequent confidence~ lift~ support~",
+        ),
+    },
+}
+STORE_SECTIONS = {
+    "store_summary": (
+        "store_summary",
+        "store_id num_transacciones total_unidades clientes_unicos avg_basket_size~",
+    ),
+    "daily_per_store": ("daily_sales_per_store", "store_id date num_transacciones"),
+    "weekly_per_store": (
+        "weekly_sales_per_store",
+        "store_id year week num_transacciones inicio_semana fin_semana",
+    ),
+    "monthly_per_store": (
+        "monthly_sales_per_store",
+        "store_id year month month_name num_transacciones",
+    ),
+    "day_of_week_per_store": (
+        "day_of_week_sales_per_store",
+        "store_id day_of_week day_name num_transacciones",
+    ),
+    "frequency_per_store": (
+        "purchase_frequency_per_store",
+        "store_id customer_id num_compras primera_compra ultima_compra",
+    ),
+    "basket_stats_per_store": (
+        "basket_stats_per_store",
+        "store_id num_transacciones avg_basket_size~ min_basket_size max_basket_size",
+    ),
+    "combinations_per_store": ("product_combinations_per_store", "store_id items frequency"),
+    "products_per_store": ("top_products_per_store", "store_id product_id num_ventas rank"),
+}
+SECTIONS["analytics_job"] = (
+    SECTIONS["temporal_summary"]
+    | SECTIONS["customer_summary"]
+    | SECTIONS["product_summary"]
+    | STORE_SECTIONS
+)
+
+
+def contents(sections: dict[str, tuple[str, str]]) -> str:
+    """Every row of each section, with all columns in one text."""
+
+    def text(column: str) -> str:
+        if column.endswith("~"):
+            return f"CAST(CAST(round({column[:-1]}, 6) AS DECIMAL(20, 6)) AS VARCHAR)"
+        return f"CAST({column} AS VARCHAR)"
+
+    return "\nUNION ALL ".join(
+        f"SELECT '{section}' AS section, concat_ws('|', {', '.join(map(text, columns.split()))}) AS row "
+        f"FROM ({STATEMENTS[name]})"
+        for section, (name, columns) in sections.items()
+    )
+
 
 def statements() -> dict[str, str]:
-    found = STATEMENTS | {name: STATEMENTS[twin] for name, twin in SAME_ROWS.items()}
+    found = STATEMENTS | {name: contents(sections) for name, sections in SECTIONS.items()}
+    found |= {name: STATEMENTS[twin] for name, twin in SAME_ROWS.items()}
     return {name: COMMON + body for name, body in found.items()}

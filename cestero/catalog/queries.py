@@ -14,7 +14,7 @@ from cestero.plans import job, summaries
 from cestero.sinks import mining as mining_files
 from cestero.sinks.delimited import write_delimited
 from cestero.sinks.reports import Reports, json_records
-from cestero.sinks.shared import shared_folder
+from cestero.sinks.shared import passing_folder
 from cestero.sources import DelimitedSource, ingest
 from cestero.sources.ingest import read_ingested
 
@@ -97,28 +97,28 @@ def _reference_files(spark: SparkSession, sf_dir: str, base: str) -> DelimitedSo
 
 def _files(spark: SparkSession, sf_dir: str) -> DelimitedSource:
     """The three inputs, written out as delimited files."""
-    base = shared_folder(spark)
+    base = passing_folder(spark)
     _reference_files(spark, sf_dir, base)
     return _receipt_files(spark, sf_dir, base)
 
 
 @query
 def csv_roundtrip(spark, sf_dir):
-    return _receipt_files(spark, sf_dir, shared_folder(spark)).transactions()
+    return _receipt_files(spark, sf_dir, passing_folder(spark)).transactions()
 
 
 @query
 def reference_csv_roundtrip(spark, sf_dir):
-    source = _reference_files(spark, sf_dir, shared_folder(spark))
+    source = _reference_files(spark, sf_dir, passing_folder(spark))
     return source.product_categories().join(source.categories(), "category_id", "left")
 
 
 @query
 def ingest_roundtrip(spark, sf_dir):
     source = _files(spark, sf_dir)
-    target = shared_folder(spark)
+    target = passing_folder(spark)
     ingest(spark, source.base, target, pattern="*.csv", id_type=ID_TYPE)
-    return read_ingested(spark, target)
+    return read_ingested(spark, target, ID_TYPE)
 
 
 # --- executive summary -------------------------------------------------------
@@ -166,7 +166,7 @@ def executive_summary(spark, sf_dir):
 @query
 def executive_summary_job(spark, sf_dir):
     """The batch job from delimited files to reports, read back as rows."""
-    out = shared_folder(spark)
+    out = passing_folder(spark)
     job.run(_files(spark, sf_dir), out)
     metrics = spark.read.schema("total_transactions bigint, total_sales_units bigint").json(
         f"{out}/summary/basic_metrics.json"
@@ -267,16 +267,27 @@ def rfm_preview(spark, sf_dir):
 
 @query
 def customer_summary(spark, sf_dir):
-    return _sizes(summaries.customer_summary(receipts(spark, sf_dir)))
+    return _contents(summaries.customer_summary(receipts(spark, sf_dir)))
 
 
-def _sizes(frames: dict[str, DataFrame]) -> DataFrame:
-    """The number of rows of each frame of a summary."""
-    counted = [
-        frame.agg(F.count("*").alias("num_rows")).select(F.lit(name).alias("section"), "num_rows")
-        for name, frame in frames.items()
+def _contents(frames: dict[str, DataFrame]) -> DataFrame:
+    """Every row of each frame of a summary, with all columns in one text."""
+
+    def text(name: str, kind: str):
+        if kind == "double":
+            return F.round(name, 6).cast("decimal(20,6)").cast("string")
+        if kind.startswith("array"):
+            return F.array_join(name, ",")
+        return F.col(name).cast("string")
+
+    listed = [
+        frame.select(
+            F.lit(section).alias("section"),
+            F.concat_ws("|", *(text(name, kind) for name, kind in frame.dtypes)).alias("row"),
+        )
+        for section, frame in frames.items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, listed)
 
 
 # --- sales over time ---------------------------------------------------------
@@ -339,7 +350,7 @@ def trend_change(spark, sf_dir):
 
 @query
 def temporal_summary(spark, sf_dir):
-    return _sizes(summaries.temporal_summary(receipts(spark, sf_dir)))
+    return _contents(summaries.temporal_summary(receipts(spark, sf_dir)))
 
 
 # --- products and baskets ----------------------------------------------------
@@ -389,9 +400,68 @@ def multi_item_count(spark, sf_dir):
 @query
 def product_summary(spark, sf_dir):
     tx, ex = receipts_with_baskets(spark, sf_dir), exploded(spark, sf_dir, store=True)
-    frames = summaries.product_summary(tx, ex, run_market_basket=False)
-    frames.pop("market_basket")
-    return _sizes(frames)
+    types = tables.type_baskets(spark, sf_dir)
+    frames = summaries.product_summary(tx, ex, mining_input=types)
+    mined = frames.pop("market_basket")
+    frames |= {name: mined[name] for name in ("frequent_itemsets", "association_rules")}
+    return _contents(frames)
+
+
+# --- per store ---------------------------------------------------------------
+
+STORE = ("store_id",)
+
+
+def receipts_of_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.transactions(spark, sf_dir, products=False)
+
+
+@query
+def weekly_sales_per_store(spark, sf_dir):
+    return temporal.weekly_sales(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def monthly_sales_per_store(spark, sf_dir):
+    return temporal.monthly_sales(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def day_of_week_sales_per_store(spark, sf_dir):
+    return temporal.day_of_week_sales(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def purchase_frequency_per_store(spark, sf_dir):
+    return customers.purchase_frequency(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def basket_stats_per_store(spark, sf_dir):
+    stats = baskets.basket_stats(tables.transactions(spark, sf_dir), by=STORE)
+    return rounded(stats, "avg_basket_size")
+
+
+@query
+def product_combinations_per_store(spark, sf_dir):
+    tx = tables.transactions(spark, sf_dir)
+    return joined(baskets.product_combinations(tx, by=STORE), "items")
+
+
+@query
+def analytics_job(spark, sf_dir):
+    """The analytics job from delimited files to series, all of them read back."""
+    out, source = passing_folder(spark), _files(spark, sf_dir)
+    types = tables.type_baskets(spark, sf_dir)
+    job.run_analytics(source, out, mining_input=types)
+    tx = source.transactions()
+    ex = baskets.explode_transactions(tx, id_type=ID_TYPE)
+    like = job.analytics_schemas(tx, ex)
+    read = {
+        name: spark.read.schema(schema).json(f"{out}/analytics/{name}.json/data")
+        for name, schema in like.items()
+    }
+    return _contents(read)
 
 
 # --- mining ------------------------------------------------------------------
@@ -429,13 +499,13 @@ def association_rules(spark, sf_dir):
 @query
 def top_rules(spark, sf_dir):
     rules = _flat_rules(_mined(spark, sf_dir)[1])
-    return mining.top_rules(rules).drop("support")
+    return mining.top_rules(rules)
 
 
 @query
 def strong_rules(spark, sf_dir):
     rules = mining.strong_rules(_mined(spark, sf_dir)[1], STRONG_LIFT)
-    return _flat_rules(rules).drop("support")
+    return _flat_rules(rules)
 
 
 @query
@@ -446,7 +516,7 @@ def mining_counts(spark, sf_dir):
 @query
 def rules_roundtrip(spark, sf_dir):
     """A search that is stored, then asked for again with equal parameters."""
-    path = shared_folder(spark)
+    path = passing_folder(spark)
     sets = tables.type_baskets(spark, sf_dir)
     summaries.market_basket(sets, reuse_path=path, source=sf_dir)
     again = summaries.market_basket(sets, reuse_path=path, source=sf_dir)
@@ -455,14 +525,14 @@ def rules_roundtrip(spark, sf_dir):
 
 @query
 def itemsets_csv_roundtrip(spark, sf_dir):
-    path = shared_folder(spark)
+    path = passing_folder(spark)
     mining_files.write_csv(_mined(spark, sf_dir)[0], path)
     return joined(mining_files.read_itemsets_csv(spark, path), "items")
 
 
 @query
 def rules_csv_roundtrip(spark, sf_dir):
-    path = shared_folder(spark)
+    path = passing_folder(spark)
     mining_files.write_csv(_mined(spark, sf_dir)[1], path)
     return _flat_rules(mining_files.read_rules_csv(spark, path))
 
@@ -472,7 +542,7 @@ def rules_csv_roundtrip(spark, sf_dir):
 
 @query
 def json_records_roundtrip(spark, sf_dir):
-    path = shared_folder(spark)
+    path = passing_folder(spark)
     frame = temporal.daily_sales(receipts(spark, sf_dir))
     json_records(frame).write.text(path)
     return spark.read.schema(frame.schema).json(path)
@@ -481,14 +551,14 @@ def json_records_roundtrip(spark, sf_dir):
 @query
 def report_summary_metrics(spark, sf_dir):
     metrics = summary.basic_metrics(receipts_with_baskets(spark, sf_dir))
-    path = Reports(shared_folder(spark)).summary_metrics(metrics)
+    path = Reports(passing_folder(spark)).summary_metrics(metrics)
     return spark.read.schema(metrics.schema).json(path)
 
 
 @query
 def report_top_items(spark, sf_dir):
     ranking = top_categories(spark, sf_dir)
-    path = Reports(shared_folder(spark)).top_items(ranking, "categories", 10)
+    path = Reports(passing_folder(spark)).top_items(ranking, "categories", 10)
     row = ranking.schema.simpleString()
     document = spark.read.schema(f"type string, top_n int, data array<{row}>").json(path)
     return document.select(
@@ -499,7 +569,7 @@ def report_top_items(spark, sf_dir):
 @query
 def report_time_series(spark, sf_dir):
     frame = temporal.daily_sales(receipts(spark, sf_dir))
-    path = Reports(shared_folder(spark)).time_series(
+    path = Reports(passing_folder(spark)).time_series(
         frame, "daily_sales", "date", "num_transacciones"
     )
     manifest = spark.read.schema("series_name string, value_column string").json(
@@ -515,7 +585,7 @@ def report_time_series(spark, sf_dir):
 @query
 def report_distribution(spark, sf_dir):
     frame = customers.purchase_frequency_histogram(receipts(spark, sf_dir))
-    path = Reports(shared_folder(spark)).distribution(frame, "purchase_frequency")
+    path = Reports(passing_folder(spark)).distribution(frame, "purchase_frequency")
     return spark.read.schema(frame.schema).json(f"{path}/data")
 
 
@@ -527,33 +597,34 @@ def report_matrix(spark, sf_dir):
         .groupBy(F.dayofweek("date").alias("row"), F.month("date").alias("col"))
         .agg(F.sum("num_transacciones").alias("value"))
     )
-    path = Reports(shared_folder(spark)).matrix(cells)
+    path = Reports(passing_folder(spark)).matrix(cells)
     return spark.read.schema(cells.schema).json(f"{path}/data")
 
 
 @query
 def report_clusters(spark, sf_dir):
-    """Purchase counts as clusters: the sample's size, the full count, profiles."""
+    """Purchase counts as clusters: every assignment with its profile, and the totals."""
     counts = customers.purchase_frequency(receipts(spark, sf_dir))
     assignments = counts.select("customer_id", F.col("num_compras").alias("cluster"))
     profiles = assignments.groupBy("cluster").agg(F.count("*").alias("num_clientes"))
-    reports = Reports(shared_folder(spark))
-    sample, profile = reports.clusters(assignments, profiles, n_clusters=4)
-    shown = spark.read.schema(
-        "n_clusters int, total_customers bigint, sample_assignments array<struct<cluster: bigint>>"
-    ).json(sample)
-    return spark.read.schema(profiles.schema).json(f"{profile}/data").select(
+    reports = Reports(passing_folder(spark))
+    members, profile = reports.clusters(assignments, profiles, n_clusters=profiles.count())
+    totals = spark.read.schema("n_clusters int, total_customers bigint").json(
+        f"{members}/manifest"
+    )
+    shown = spark.read.schema(assignments.schema).json(f"{members}/data")
+    described = spark.read.schema(profiles.schema).json(f"{profile}/data")
+    return shown.join(described, "cluster").select(
         "*",
-        shown.select("n_clusters").scalar().alias("n_clusters"),
-        shown.select("total_customers").scalar().alias("total_customers"),
-        shown.select(F.size("sample_assignments")).scalar().alias("sample_size"),
+        totals.select("n_clusters").scalar().alias("n_clusters"),
+        totals.select("total_customers").scalar().alias("total_customers"),
     )
 
 
 @query
 def report_recommendations(spark, sf_dir):
     rules = _mined(spark, sf_dir)[1]
-    path = Reports(shared_folder(spark)).recommendations(rules)
+    path = Reports(passing_folder(spark)).recommendations(rules)
     return _flat_rules(spark.read.schema(rules.schema).json(f"{path}/data"))
 
 
@@ -561,7 +632,7 @@ def report_recommendations(spark, sf_dir):
 def report_run_metadata(spark, sf_dir):
     metrics = summary.basic_metrics(receipts_with_baskets(spark, sf_dir))
     info = {c: metrics.select(c).scalar() for c in metrics.columns} | {"status": "success"}
-    path = Reports(shared_folder(spark)).run_metadata(spark, "daily", "summary", info)
+    path = Reports(passing_folder(spark)).run_metadata(spark, "daily", "summary", info)
     return spark.read.schema(
         "dag_id string, task_id string, status string, "
         "total_transactions bigint, total_sales_units bigint"
@@ -605,7 +676,7 @@ def store_summary(spark, sf_dir):
 def daily_sales_per_store(spark, sf_dir):
     """Written as CSV with a folder per store, and read back."""
     daily = quality.daily_sales_per_store(tables.transactions(spark, sf_dir, products=False))
-    path = shared_folder(spark)
+    path = passing_folder(spark)
     quality.write_per_store(daily, path)
     return spark.read.schema(daily.schema).option("header", True).csv(path)
 

@@ -3,6 +3,7 @@
 import pytest
 
 from cestero.catalog.queries import QUERIES
+from cestero.operators.quality import transaction_quality
 from plans import executed_plan
 
 
@@ -81,3 +82,18 @@ def test_no_query_uses_python_or_a_cartesian_product(spark, sf_dir):
 def test_gaps_read_the_receipts_once(spark, sf_dir):
     plan = executed_plan(QUERIES["purchase_gaps"](spark, sf_dir))
     assert len(lines_with(plan, "FileScan")) == 1
+
+
+def test_summaries_compute_windows_and_cuts(spark, sf_dir):
+    temporal = "\n".join(executed_plan(QUERIES["temporal_summary"](spark, sf_dir)))
+    assert "Window" in temporal and "moving_avg_7d" in temporal
+    customers = "\n".join(executed_plan(QUERIES["customer_summary"](spark, sf_dir)))
+    assert "Window" in customers and "cuts" in customers
+
+
+def test_no_basket_text_is_shuffled(spark, receipts):
+    tx = receipts([("2024-01-01", 1, 2, "3 4"), ("2024-01-01", 1, 2, "3 4")])
+    for line in lines_with(executed_plan(transaction_quality(tx)), "Exchange"):
+        assert "products" not in line.split("sha2")[0] or "hashpartitioning" in line
+    [row] = transaction_quality(tx).collect()
+    assert (row.total_transactions, row.duplicate_transactions) == (2, 1)
