@@ -15,7 +15,10 @@ they are kept for ``2 ** SLOTS`` hash slots, which bounds what is broadcast.
 4. Texts of a bucket that are not connected to its hub after that are compared
    with all texts of the bucket that are in another component, unless the shared
    samples rule out that they are similar. So no link between components is lost
-   to the choice of hubs.
+   to the choice of hubs. Buckets of more than ``CROWD`` texts give no pairs:
+   those that overlap form a crowd, whose texts outside its largest component are
+   compared in blocks with all of the crowd, inside of tasks, and only links that
+   join two components come out.
 
 Equal texts are one node from the start, whatever their number. Null, empty or
 blank texts resemble nothing: each row is a class of its own. Null ids are kept;
@@ -39,6 +42,9 @@ BANDS, ROWS, ORDERS = 12, 4, 3
 SLOTS = 20
 #: Share of equal samples below which texts of similarity SIMILAR are not found (3.5 deviations).
 RULED_OUT = 0.6
+#: Texts of a bucket from which on it belongs to a crowd, and the sides of a
+#: crowd's blocks: texts outside the largest component, and all texts.
+CROWD, OUTSIDE, INSIDE = 64, 512, 2048
 #: Shingles that are sampled together; a text of more is sampled by itself.
 CHUNK = 1 << 15
 
@@ -230,6 +236,97 @@ def _still_possible(pairs: DataFrame) -> DataFrame:
     return pairs.mapInPandas(agreeing, "u binary, v binary").distinct()
 
 
+def _joining(outside: list[tuple], inside: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+    """Links between texts of different parts, at most one for each two parts it joins.
+
+    A text is ``node, part, ids, weights``. Those inside are searched by an
+    inverted index from shingle to texts.
+    """
+    if not outside or not inside:
+        return
+    row = np.repeat(np.arange(len(inside)), [len(t[2]) for t in inside])
+    ids, weights = (np.concatenate([t[k] for t in inside]) for k in (2, 3))
+    order = np.argsort(ids, kind="stable")
+    ids, weights, row = ids[order], weights[order], row[order]
+    totals = np.array([t[3].sum() for t in inside])
+    parts = [t[1] for t in inside]
+    root: dict[bytes, bytes] = {}
+
+    def top(part: bytes) -> bytes:
+        while (above := root.get(part, part)) != part:
+            part = above
+        return part
+
+    for name, part, own, weight in outside:
+        first, last = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+        sizes = last - first
+        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        shared = np.bincount(
+            row[at], np.minimum(weights[at], np.repeat(weight, sizes)), minlength=len(inside)
+        )
+        similar = shared >= SIMILAR * (totals + weight.sum() - shared) * (1 - 1e-9)
+        for k in np.flatnonzero(similar):
+            a, b = top(part), top(parts[k])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                yield name, inside[k][0]
+
+
+def _crowded_links(met: DataFrame, parts: DataFrame, wanted: DataFrame, weights) -> DataFrame:
+    """``u, v``: links that join components within crowds."""
+    crowds = components(met.where(F.col("size") > CROWD).select(F.col("node").alias("u"), F.col("hub").alias("v")))
+    members = staged(
+        crowds.withColumnRenamed("component", "crowd")
+        .join(parts, "node", "left")
+        .select("crowd", "node", F.coalesce("component", "node").alias("part"))
+    )
+    sizes = members.groupBy("crowd", "part").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("crowd").agg(
+        F.max(F.struct("n", "part"))["part"].alias("largest"), F.sum("n").alias("all")
+    )
+    largest = largest.join(
+        sizes.join(largest, "crowd")
+        .where("part <> largest")
+        .groupBy("crowd")
+        .agg(F.sum("n").alias("few")),
+        "crowd",
+    )
+    placed = members.join(largest, "crowd").withColumns(
+        {
+            "columns": F.ceil(F.col("few") / OUTSIDE),
+            "rows": F.ceil(F.col("all") / INSIDE),
+            "h": F.xxhash64("node"),
+        }
+    )
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    outside = placed.where("part <> largest").select(
+        "crowd", F.pmod("h", "columns").alias("column"), each("rows").alias("row"), "node", "part", F.lit(True).alias("outside")
+    )
+    inside = placed.select(
+        "crowd", each("columns").alias("column"), F.pmod("h", "rows").alias("row"), "node", "part", F.lit(False).alias("outside")
+    )
+    cells = outside.unionByName(inside).join(wanted, "node")
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo, idf = of_worker("word hashes", lambda: Memo(word_hash)), weights.value
+        cell, sides = None, ([], [])
+
+        def links() -> pd.DataFrame:
+            return pd.DataFrame(list(_joining(sides[1], sides[0])), columns=["u", "v"])
+
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                if (r.crowd, r.column, r.row) != cell:
+                    yield links()
+                    cell, sides = (r.crowd, r.column, r.row), ([], [])
+                ids, counts = shingles(r.text, memo)
+                sides[r.outside].append((r.node, r.part, ids, counts * idf[slot(ids)].astype(float)))
+        yield links()
+
+    key = ["crowd", "column", "row"]
+    return cells.repartition(*key).sortWithinPartitions(*key).mapInPandas(compared, "u binary, v binary")
+
+
 def links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verified links ``u, v`` between different texts, and ``node, component`` of linked ones."""
     spark = documents.sparkSession
@@ -245,7 +342,7 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.min(order)["node"].alias("hub"), F.count(F.lit(1)).alias("size"))
         .where("size > 1")
     )
-    met = staged(bands.join(hubs, ["band", "key"]).select("band", "key", "node", "hub"))
+    met = staged(bands.join(hubs, ["band", "key"]).select("band", "key", "node", "hub", "size"))
     pairs = met.where("node <> hub").select(
         F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")
     )
@@ -261,7 +358,8 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         return parts.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
 
     placed = (
-        met.join(part("node"), "node", "left")
+        met.where(F.col("size") <= CROWD)
+        .join(part("node"), "node", "left")
         .join(part("hub"), "hub", "left")
         .withColumns(
             {
@@ -284,7 +382,8 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_u = signed.select(F.col("node").alias("u"), F.col("samples").alias("samples_u"))
     by_v = signed.select(F.col("node").alias("v"), F.col("samples").alias("samples_v"))
     possible = staged(_still_possible(open_.distinct().join(by_u, "u").join(by_v, "v")))
-    more = staged(_verified(possible, wanted, weights)).where("similar").select("u", "v")
+    more = _verified(possible, wanted, weights).where("similar").select("u", "v")
+    more = staged(more.union(_crowded_links(met, parts, wanted, weights)))
     if more.isEmpty():
         return linked, parts
     every = linked.union(more)
@@ -314,9 +413,8 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     hash of its text is kept.
     """
     _, parts = links(documents)
-    own = documents
     text = F.coalesce("text", F.lit(""))
-    rows = own.withColumn("node__", node(text))
+    rows = documents.withColumn("node__", node(text))
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id__")
     by_node = (
         rows.where(text.rlike(r"(?U)\S"))
@@ -335,6 +433,6 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         .join(keep, ["node__", "id__"])
         .withColumn("rank__", F.row_number().over(alike))
         .where("rank__ = 1")
-        .select(*own.columns)
+        .select(*documents.columns)
     )
-    return kept.unionByName(own.where(~text.rlike(r"(?U)\S")))
+    return kept.unionByName(documents.where(~text.rlike(r"(?U)\S")))

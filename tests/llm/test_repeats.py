@@ -118,6 +118,22 @@ def test_near_duplicates_of_documents(spark, sf_dir):
     check_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def test_near_duplicates_in_crowds(spark, monkeypatch):
+    """Large groups of near copies, of which many are unlike any hub."""
+    for name, value in (("CROWD", 3), ("OUTSIDE", 4), ("INSIDE", 8)):
+        monkeypatch.setattr(near_dup, name, value)
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(3):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(90)]
+        for _ in range(40):
+            words = list(base)
+            for k in rnd.sample(range(90), rnd.randint(0, 4)):
+                words[k] = f"w{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    check_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_near_duplicates_of_odd_rows(odd, nothing):
     check_classes(odd)
     kept = near_dup.one_of_each(odd)
