@@ -29,6 +29,8 @@ from cestero.llm.text import Memo, of_worker
 
 #: Stands for a character that the library takes as neither letter, number nor space.
 _OTHER = "†"
+#: Words in one generation of a worker's memory.
+MEMORY = 1 << 19
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -167,12 +169,27 @@ class Replay:
             out[k] = np.array(self.greedy(words[k]), "<u4").tobytes()
         return out
 
-    def pieces(self, keys: list[str]) -> list[bytes | None]:
-        """Ids of space-led pieces; every match of the pattern is a word."""
-        texts = [text_of(key) for key in keys]
-        found = [[m.encode() for m in self.matches(t)] if t is not None else None for t in texts]
-        distinct = list({w for words in found if words for w in words})
-        ids = dict(zip(distinct, self.words(distinct)))
+    def pieces(self, keys: list[str], memo: Memo) -> list[bytes | None]:
+        """Ids of space-led pieces; every match of the pattern is a word.
+
+        Words that are remembered as pieces of their own, such as one that a
+        full stop follows here, are not encoded again.
+        """
+        found: list[list[str] | None] = []
+        ids: dict[str, bytes | None] = {}
+        for key in keys:
+            if key.isascii() and key.isalpha():
+                words = [" " + key]
+            else:
+                text = text_of(key)
+                words = None if text is None else self.matches(text)
+            found.append(words)
+            for word in words or ():
+                if word not in ids:
+                    led = len(words) > 1 and word[0] == " " and len(word) > 1
+                    ids[word] = memo.recall(word[1:]) if led else None
+        new = [word for word, value in ids.items() if value is None]
+        ids.update(zip(new, self.words([word.encode() for word in new])))
         return [None if w is None else b"".join([ids[x] for x in w]) for w in found]
 
     def whole(self, text: str) -> list[bytes]:
@@ -188,11 +205,15 @@ def _encoder(spark: SparkSession, ranks: str, pattern: str):
     key = f"replay {ranks}"
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, memo = of_worker(key, lambda: (Replay(*shared.value), Memo()))
+        replay, memo = of_worker("bpe", key, lambda: (Replay(*shared.value), Memo(most=MEMORY)))
+
+        def pieces(keys: list[str]) -> list[bytes | None]:
+            return replay.pieces(keys, memo)
+
         for batch in small(batches):
             parts: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
             texts = (t.as_py() for t in batch.column(1))
-            for k, values in looked_up(texts, memo, space_led, replay.pieces, replay.whole):
+            for k, values in looked_up(texts, memo, space_led, pieces, replay.whole):
                 parts[k].append(b"".join(values))
             joined = [b"".join(p) for p in parts]
             ends = np.cumsum([0] + [len(j) // 4 for j in joined]).astype(np.int32)

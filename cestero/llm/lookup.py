@@ -22,14 +22,14 @@ from cestero.llm.text import SLICE, Memo, of_worker, slices
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def library(tokenizer_json: str) -> Tokenizer:
+def library(tokenizer_json: str, owner: str) -> Tokenizer:
     """The library with a vocabulary, once a worker; Spark alone decides how many threads run."""
 
     def load() -> Tokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         return Tokenizer.from_str(tokenizer_json)
 
-    return of_worker(f"library {hash(tokenizer_json)}", load)
+    return of_worker(owner, f"library {hash(tokenizer_json)}", load)
 
 
 def space_led(text: str, first: bool) -> list[str]:
@@ -50,8 +50,13 @@ def text_of(key: str) -> str | None:
 
 
 def white_split(text: str, first: bool) -> list[bytes]:
-    """Keys of pieces for patterns that drop all white space."""
-    return text.encode().split()
+    """Keys of pieces for a library that drops white space and writes all in lower case.
+
+    ASCII is written so here already, where that cannot make a special token nor
+    a letter that a combining mark would join.
+    """
+    raw = text.encode()
+    return (raw if b"<|" in raw or b"\xcc" in raw else raw.lower()).split()
 
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -79,24 +84,21 @@ def looked_up(
 
     def values() -> Iterator[tuple[int, list]]:
         lists = [(k, s, keys(s, first)) for k, s, first in block]
-        table, missing = {}, []
-        for key in set().union(*(words for _, _, words in lists)):
-            value = memo.recall(key)
-            if value is None:
-                missing.append(key)
-            else:
-                table[key] = value
-        alone = False
-        for key, value in zip(missing, encode(missing) if missing else ()):
-            table[key] = value
-            if value is None:
-                alone = True
-            else:
+        found = [list(map(memo.get, words)) for _, _, words in lists]
+        missing = set()
+        for (_, _, words), got in zip(lists, found):
+            if None in got:
+                missing.update([w for w, v in zip(words, got) if v is None])
+        table = {key: memo.old.pop(key, None) for key in missing}
+        new = [key for key, value in table.items() if value is None]
+        table.update(zip(new, encode(new) if new else ()))
+        for key, value in table.items():
+            if value is not None:
                 memo.keep(key, value)
-        get = table.__getitem__
-        for k, s, words in lists:
-            got = list(map(get, words))
-            yield k, whole(s) if alone and None in got else got
+        for (k, s, words), got in zip(lists, found):
+            if None in got:
+                got = [table[w] if v is None else v for w, v in zip(words, got)]
+            yield k, whole(s) if None in got else got
 
     for k, text in enumerate(texts):
         first = True

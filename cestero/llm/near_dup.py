@@ -46,13 +46,19 @@ RULED_OUT = 0.6
 #: crowd's blocks: texts outside the largest component, and all texts.
 CROWD, OUTSIDE, INSIDE = 64, 512, 2048
 #: Shingles that are sampled together; a text of more is sampled by itself.
-CHUNK = 1 << 15
+CHUNK = 1 << 16
+#: Words in one generation of a worker's memory.
+MEMORY = 3 << 17
 
 _BLOCK = 1 << 14
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9)
 
 
+def _hashes() -> Memo:
+    return of_worker("near duplicates", "word hashes", lambda: Memo(word_hash, MEMORY))
+
+
 def shingles(text: str, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
     """Sorted 64-bit identifiers of a text's shingles, and how often each occurs."""
     words = word_hashes(text, memo)
@@ -77,7 +83,7 @@ def document_frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = of_worker("word hashes", lambda: Memo(word_hash))
+        memo = _hashes()
         counts, rows = np.zeros(1 << SLOTS, np.int32), 0
         for batch in batches:
             for text in batch["text"]:
@@ -128,6 +134,7 @@ def samples(ids: np.ndarray, log_weight: np.ndarray, starts: np.ndarray) -> np.n
     gamma, log_gamma, uniform = _tables()
     seeds = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _A) | _U(1)
     low, out = _U(4095), np.empty((len(starts), BANDS * ROWS), np.uint32)
+    one, middle, scale = np.float32(1), np.float32(64), np.float32(1 << 25)
     for k, seed in enumerate(seeds):
         x = ids * seed
         x ^= x >> _U(31)
@@ -135,9 +142,16 @@ def samples(ids: np.ndarray, log_weight: np.ndarray, starts: np.ndarray) -> np.n
         r = gamma.take((x >> _U(52)).view(np.int64))
         beta = uniform.take((x >> _U(40) & low).view(np.int64))
         t = np.floor(log_weight / r + beta)
-        place = log_gamma.take((x >> _U(28) & low).view(np.int64)) - r * (t + 1 - beta)
-        # The place as fixed-point number above 32 bits that tell shingle and level apart.
-        key = np.clip((place + np.float32(64)) * np.float32(1 << 25), 0, 4294967040).astype(np.uint64)
+        # ln c - r (t + 1 - beta), between -64 and 64 for any count below e ** 40, as a
+        # fixed-point number above 32 bits that tell shingle and level apart.
+        np.subtract(t, beta, out=beta)
+        beta += one
+        beta *= r
+        place = log_gamma.take((x >> _U(28) & low).view(np.int64))
+        place -= beta
+        place += middle
+        place *= scale
+        key = place.astype(np.uint64)
         key <<= _U(32)
         x += t.astype(np.int64).view(np.uint64) * _A
         x ^= x >> _U(29)
@@ -161,7 +175,7 @@ def signatures(texts: DataFrame, weights) -> DataFrame:
     """``node, samples`` for each text that has a shingle."""
 
     def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, idf = of_worker("word hashes", lambda: Memo(word_hash)), weights.value
+        memo, idf = _hashes(), weights.value
         for batch in batches:
             nodes, found, size = [], [], 0
             for k, (name, text) in enumerate(zip(batch["node"], batch["text"]), 1):
@@ -195,7 +209,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     """``u, v, similar`` of pairs ``u, v`` of nodes."""
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, idf = of_worker("word hashes", lambda: Memo(word_hash)), weights.value
+        memo, idf = _hashes(), weights.value
         kept: dict[bytes, tuple] = {}
 
         def weighed(name: bytes, text: str) -> tuple:
@@ -308,7 +322,7 @@ def _crowded_links(met: DataFrame, parts: DataFrame, wanted: DataFrame, weights)
     cells = outside.unionByName(inside).join(wanted, "node")
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, idf = of_worker("word hashes", lambda: Memo(word_hash)), weights.value
+        memo, idf = _hashes(), weights.value
         cell, sides = None, ([], [])
 
         def links() -> pd.DataFrame:

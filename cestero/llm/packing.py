@@ -19,6 +19,7 @@ kept as they are.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ LENGTH = 4096
 END = 1
 #: Patterns of three lengths that are fitted, at most, besides those of two.
 TRIPLES = 20_000
+#: Words in one generation of a worker's memory.
+MEMORY = 1 << 19
 SWEEPS = 12
 
 Plan = list[tuple[int, list[tuple[int, int]]]]
@@ -57,14 +60,14 @@ def tokenised(documents: DataFrame, tokenizer: str, length: int = LENGTH, ids: b
     end = END.to_bytes(4, "little")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = library(vocabulary.value)
-        memo = of_worker(f"ids of pieces {tokenizer}", Memo)
+        own = library(vocabulary.value, "packing")
+        memo = of_worker("packing", f"ids {tokenizer}", lambda: Memo(most=MEMORY))
         task, ranks = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
 
         def encode(keys: list[bytes]) -> list[bytes]:
             texts = [key.decode() for key in keys]
             encoded = own.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+            return [array("I", e.ids).tobytes() for e in encoded]
 
         def whole(text: str) -> list[bytes]:
             return encode([text.encode()])

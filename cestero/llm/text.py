@@ -39,7 +39,7 @@ def slices(text: str, size: int = SLICE, gaps: re.Pattern = _SPACE) -> Iterator[
 def plain_word(chunk: str) -> str:
     """Lower case without marks at the edges; what has only marks stays as it is."""
     lower = chunk.lower()
-    return _EDGES.sub("", lower) or lower
+    return lower if lower.isalnum() else _EDGES.sub("", lower) or lower
 
 
 class Memo(dict):
@@ -75,12 +75,18 @@ class Memo(dict):
         self[key] = value
 
 
-def of_worker(name: str, make):
-    """``make()`` once for a worker process, which outlives a task."""
+def of_worker(owner: str, name: str, make):
+    """``make()`` once for a worker process, which outlives a task.
+
+    What another operator, an ``owner``, has left there is let go first.
+    """
     kept = sys.__dict__.setdefault("_cestero_kept", {})
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if kept.keys() - {owner}:
+        kept.clear()
+    own = kept.setdefault(owner, {})
+    if name not in own:
+        own[name] = make()
+    return own[name]
 
 
 def word_hash(chunk: str) -> int:

@@ -30,7 +30,7 @@ FREQUENT = 1 << 15
 
 def _counter(tokenizer_json: str):
     """Numbers of tokens of many pieces, and of one whole slice."""
-    own = library(tokenizer_json)
+    own = library(tokenizer_json, "token counts")
 
     def many(keys: list[str]) -> list[int | None]:
         texts = [text_of(key) for key in keys]
@@ -73,7 +73,7 @@ def n_tokens(text: Column, tokenizer_json: str, frequent) -> Column:
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces, tokens = frequent.value
         first_tier = dict(zip(pieces.split(" "), tokens)) if tokens else {}
-        memo = of_worker("token counts", Memo)
+        memo = of_worker("token counts", f"lengths {hash(tokenizer_json)}", Memo)
         many, whole = _counter(tokenizer_json)
 
         def encode(keys: list[str]) -> list[int | None]:
