@@ -226,7 +226,8 @@ def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The bytes around each anchor that is still open."""
     reach = SPAN - GRAM
     for batch in batches:
-        for doc, th, text, hits in zip(batch["doc"], batch["th"], batch["text"], batch["hits"]):
+        columns = (batch[c] for c in (*_KEY, "text", "hits__"))
+        for doc, th, text, hits in zip(*columns):
             raw = text.encode()
             q, pos = np.asarray(hits["q"], np.int64), np.asarray(hits["pos"], np.int64)
             left = np.minimum(pos, reach)
@@ -313,26 +314,33 @@ def _string_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield out
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """``documents`` with the key of a document, ``doc, th``, and a text that is never null.
+#: The key of a document: its id, and a hash of its text among rows of equal id.
+_KEY = ("doc__", "th__")
 
-    Columns of these two names have to be out of the way.
-    """
+
+def keyed(documents: DataFrame) -> DataFrame:
+    """``documents`` with the key of a document, and a text that is never null."""
     text = F.coalesce("text", F.lit(""))
+    doc, th = _KEY
     return documents.withColumns(
         {
             "text": text,
-            "doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)),
-            "th": F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF).cast("long")),
+            doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)),
+            th: F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF).cast("long")),
         }
     )
 
 
+def _renamed(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed(dict(zip(("doc", "th"), _KEY)))
+
+
 def repeated_stretches(documents: DataFrame, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """``doc, th, start, stop`` of covered stretches, and the documents with their key."""
     source = keyed(documents)
+    key = [F.col(k).alias(name) for k, name in zip(_KEY, ("doc", "th"))]
     sorted_anchors = (
-        source.select("doc", "th", F.col("text").cast("binary").alias("text"))
+        source.select(*key, F.col("text").cast("binary").alias("text"))
         .mapInArrow(_anchor_rows, _ANCHOR)
         .repartition("route")
         .sortWithinPartitions("route", "q", "c", "doc", "at")
@@ -341,19 +349,21 @@ def repeated_stretches(documents: DataFrame, crowd: int = CROWD) -> tuple[DataFr
     found = staged(sorted_anchors.mapInArrow(_settled_rows, schema))
     open_ = found.where(~F.col("settled"))
     crowded = open_.groupBy("q").count().where(F.col("count") > crowd).select("q")
-    hits = open_.groupBy("doc", "th").agg(
-        F.struct(F.collect_list("q").alias("q"), F.collect_list("pos").alias("pos")).alias("hits")
-    )
-    around = source.join(hits, ["doc", "th"]).mapInPandas(_surroundings, _AROUND)
-    key = ["doc", "th"]
+
+    def around(rows: DataFrame) -> DataFrame:
+        """The text is shuffled by key once for both uses and for the last join."""
+        lists = F.struct(F.collect_list("q").alias("q"), F.collect_list("pos").alias("pos"))
+        hits = _renamed(rows.groupBy("doc", "th").agg(lists.alias("hits__")))
+        return source.join(hits, list(_KEY)).mapInPandas(_surroundings, _AROUND)
+
     stretch = "doc long, th long, start long, stop long"
     refined = (
-        around.join(crowded, "q", "left_anti")
+        around(open_.join(crowded, "q", "left_anti"))
         .repartition("q")
         .sortWithinPartitions("q", "doc", "th", "pos")
         .mapInPandas(_refined_rows, stretch)
     )
-    strings = around.join(crowded, "q", "left_semi").mapInPandas(
+    strings = around(open_.join(crowded, "q", "left_semi")).mapInPandas(
         _string_rows, "q long, doc long, th long, string long, start long, offset int"
     )
     by = ["q", "string", "offset"]
@@ -362,11 +372,11 @@ def repeated_stretches(documents: DataFrame, crowd: int = CROWD) -> tuple[DataFr
     crowds = (
         strings.join(earliest, by)
         .where(F.col("earliest") != place)
-        .select(*key, "start", (F.col("start") + SPAN).alias("stop"))
+        .select("doc", "th", "start", (F.col("start") + SPAN).alias("stop"))
     )
-    reach = SPAN - GRAM
+    first = F.greatest(F.col("pos") - (SPAN - GRAM), F.lit(0))
     settled = found.where("settled").select(
-        *key, F.greatest(F.col("pos") - reach, F.lit(0)).alias("start"), (F.col("pos") + SPAN).alias("stop")
+        "doc", "th", first.alias("start"), (F.col("pos") + SPAN).alias("stop")
     )
     return settled.unionByName(refined).unionByName(crowds), source
 
@@ -401,20 +411,15 @@ def remaining(text: Column, packed: Column) -> Column:
     return cut(text, packed)
 
 
-def remove_repeats(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """All columns of ``documents`` and the struct ``remains``: ``kept`` and ``spans``.
-
-    Input columns called ``doc``, ``th`` or ``remains`` are dropped.
-    """
-    own = documents.drop("doc", "th", "remains")
+def remove_repeats(documents: DataFrame, crowd: int = CROWD, into: str = "remains") -> DataFrame:
+    """All columns of ``documents`` and a struct ``into``: ``kept`` and ``spans``, which replaces
+    a column of that name."""
+    own = documents.drop(into)
     stretches, source = repeated_stretches(own, crowd)
-    packed = stretches.groupBy("doc", "th").agg(
-        F.collect_list(F.shiftleft("start", 32).bitwiseOR(F.col("stop"))).alias("packed")
-    )
-    joined = source.join(packed, ["doc", "th"], "left")
-    return joined.withColumn("remains", remaining(F.col("text"), F.col("packed"))).select(
-        *own.columns, "remains"
-    )
+    stretch = F.shiftleft("start", 32).bitwiseOR(F.col("stop"))
+    packed = _renamed(stretches.groupBy("doc", "th").agg(F.collect_list(stretch).alias("packed__")))
+    joined = source.join(packed, list(_KEY), "left")
+    return joined.select(*own.columns, remaining(F.col("text"), F.col("packed__")).alias(into))
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -427,8 +432,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     def readable(kept: pd.Series) -> pd.Series:
         return kept.map(lambda raw: raw.decode("utf-8", "ignore"))
 
-    cut = remove_repeats(documents).withColumn("text", readable(F.col("remains.kept")))
+    cut = remove_repeats(documents, into="remains__")
+    cut = cut.withColumn("text", readable(F.col("remains__.kept")))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.char_length("text").cast(kind))
-    return cut.select(*[c for c in documents.columns if c in cut.columns])
+    return cut.select(*documents.columns)
