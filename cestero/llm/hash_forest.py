@@ -90,17 +90,35 @@ class Forest:
             yield np.flatnonzero(seen)
 
 
+def _reduced(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in float32 and their lengths, by a power of two that leaves no component over 1."""
+    scaled = np.ldexp(rows, -np.frexp(np.abs(rows).max(initial=0.0))[1])
+    return scaled.astype(np.float32), np.sqrt((scaled**2).sum(axis=1))
+
+
+def contenders(rough: np.ndarray, lengths: np.ndarray, width: int, k: int) -> np.ndarray:
+    """Index of all rows that can be among the best ``k``, or tie with one that is.
+
+    A float32 score of ``width`` products is off by less than ``margin``, which grows
+    with the product of both ``lengths``. Rows go whose score is certainly under
+    that of ``k`` others.
+    """
+    margin = (width + 8) * 2.0**-23 * lengths + width * 2.0**-120
+    low = rough - margin
+    return np.flatnonzero(rough + margin >= np.partition(low, len(low) - k)[len(low) - k])
+
+
 def search_share(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, met: float):
     """``query, score, vec_id`` of each query's nearest ``k`` among the rows it meets."""
     forest = Forest(vectors)
     wanted = min(len(ids), max(int(met * len(ids)), min(FEW, len(ids)), k + 1))
-    single = vectors.astype(np.float32)
+    single, lengths = _reduced(vectors)
     out = []
     for q, rows in enumerate(forest.met(queries, wanted)):
         rows = rows[ids[rows] != query_ids[q]]
-        if len(rows) > 4 * k:  # far more than can trade places by rounding
-            rough = single[rows] @ queries[q].astype(np.float32)
-            rows = rows[np.argpartition(-rough, 3 * k)[: 3 * k]]
+        if len(rows) > 4 * k:
+            asked, length = _reduced(queries[q : q + 1])
+            rows = rows[contenders(single[rows] @ asked[0], lengths[rows] * length, vectors.shape[1], k)]
         score = (vectors[rows] * queries[q]).sum(axis=1)
         kept = best(np.zeros(len(rows), np.int64), score, ids[rows], k)
         out.append((np.full(len(kept), q), score[kept], ids[rows[kept]]))

@@ -53,6 +53,31 @@ def test_pruning_skips_blocks_and_loses_nothing():
     assert scored < 0.5 * len(asked) * len(ids) / topk.BLOCK
 
 
+def test_ties_of_many_rows_go_to_the_smallest_ids():
+    rnd = np.random.default_rng(9)
+    vectors = rnd.normal(size=(3000, 16))
+    vectors[:900] = vectors[0]
+    vectors[900:1200] = vectors[0] * (1 + np.arange(300)[:, None] * 1e-10)  # equal in float32
+    ids = rnd.permutation(3000)
+    asked = np.array([5, 1000, 2000])
+    for scale in (1.0, 1e30):
+        scaled = vectors * scale
+        q, score, found = hash_forest.search_share(ids, scaled, ids[asked], scaled[asked], 20, 1.0)
+        for k, row in enumerate(asked):
+            exact = (scaled * scaled[row]).sum(axis=1)
+            want = sorted((-s, i) for s, i in zip(exact.tolist(), ids.tolist()) if i != ids[row])[:20]
+            assert list(zip((-score[q == k]).tolist(), found[q == k].tolist())) == want
+
+
+def test_ties_of_equal_vectors(spark):
+    rows = [(k * 37 % 400, [1.0, 2.0, 3.0, -1.0]) for k in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = hash_forest.nearest(table, table.where("vec_id % 100 = 0"), 20).collect()
+    for q in (0, 100, 200, 300):
+        found = sorted((r.rank, r.vec_id) for r in got if r.query_id == q)
+        assert [i for _, i in found] == [i for i in range(21) if i != q][:20]
+
+
 @pytest.fixture(scope="module")
 def odd_vectors(spark):
     rows = [
