@@ -273,7 +273,10 @@ def _refined(q: np.ndarray, pos: np.ndarray, left: np.ndarray, around: list[byte
 
 
 def _refined_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Covered stretches from rows sorted by bucket, document and position."""
+    """Covered stretches from rows sorted by bucket, document and position.
+
+    A place comes once for each row alike in id and text; it counts once.
+    """
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         q, pos, left = (rows[c].to_numpy() for c in ("q", "pos", "left"))
@@ -283,7 +286,15 @@ def _refined_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return out
 
     held: list[pd.DataFrame] = []
+    before = None  # the place of the last row
     for batch in batches:
+        places = batch[["q", "doc", "th", "pos"]].to_numpy()
+        new = np.ones(len(places), bool)
+        new[1:] = (places[1:] != places[:-1]).any(axis=1)
+        if len(places):
+            new[0] = before is None or (places[0] != before).any()
+            before = places[-1]
+        batch = batch[new]
         for k in range(0, len(batch), ROWS):
             part = batch.iloc[k : k + ROWS]
             q = part["q"].to_numpy()

@@ -77,6 +77,31 @@ def test_repeats_of_odd_rows(odd, nothing):
     assert suffix_dedup.without_repeats(nothing).count() == 0
 
 
+def test_repeated_rows_are_one_document(spark, monkeypatch):
+    """Rows alike in id and text that share a part with another document."""
+    rnd = random.Random(4)
+
+    def prose(n):
+        return "".join(rnd.choices("abcdefgh ", k=n))
+
+    shared = [prose(180) for _ in range(3)]
+    twice = [prose(150) + s + prose(150) for s in shared]
+    rows = [(k, text) for k, text in zip((3, 7, None), twice) for _ in range(3)]
+    rows += [(5, prose(90) + shared[0] + prose(120)), (6, shared[1] + prose(130)), (9, prose(70) + shared[2])]
+    rows += [(7, prose(200)), (8, prose(40) + shared[1] + prose(10))]
+    for parts in (1, 4):
+        documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        check_left_over(documents)
+        check_left_over(documents, crowd=1)
+    monkeypatch.setattr(suffix_dedup, "LOCAL_CROWD", 2)
+    monkeypatch.setattr(suffix_dedup, "ROWS", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        check_left_over(documents)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def similar_classes(rows):
     """Class of each row, by comparing all pairs that share a shingle."""
     memo = Memo(word_hash)
