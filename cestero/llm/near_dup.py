@@ -13,12 +13,12 @@ they are kept for ``2 ** SLOTS`` hash slots, which bounds what is broadcast.
    to a hub, the smallest by one of ``ORDERS`` orders, never all pairs.
 3. Links are verified by the exact weighted Jaccard similarity, ``SIMILAR`` or more.
 4. Texts of a bucket that are not connected to its hub after that are compared
-   with all texts of the bucket that are in another component, unless the shared
-   samples rule out that they are similar. So no link between components is lost
-   to the choice of hubs. Buckets of more than ``CROWD`` texts give no pairs:
-   those that overlap form a crowd, whose texts outside its largest component are
-   compared in blocks with all of the crowd, inside of tasks, and only links that
-   join two components come out.
+   with all texts of the bucket that are in another component, by the exact
+   similarity again. So no link between components is lost to the choice of hubs.
+   Buckets of more than ``CROWD`` texts give no pairs: those that overlap form a
+   crowd, whose texts outside its largest component are compared in blocks with
+   all of the crowd, inside of tasks, and only links that join two components come
+   out.
 
 Equal texts are one node from the start, whatever their number. Null, empty or
 blank texts resemble nothing: each row is a class of its own. Null ids are kept;
@@ -40,8 +40,6 @@ from cestero.llm.text import Memo, mixed, of_worker, staged, word_hash, word_has
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS, ORDERS = 12, 4, 3
 SLOTS = 20
-#: Share of equal samples below which texts of similarity SIMILAR are not found (3.5 deviations).
-RULED_OUT = 0.6
 #: Texts of a bucket from which on it belongs to a crowd, and the sides of a
 #: crowd's blocks: texts outside the largest component, and all texts.
 CROWD, OUTSIDE, INSIDE = 64, 512, 2048
@@ -238,18 +236,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     return joined.mapInPandas(compared, "u binary, v binary, similar boolean")
 
 
-def _still_possible(pairs: DataFrame) -> DataFrame:
-    """``u, v`` of pairs whose samples do not rule out that they are similar."""
-
-    def agreeing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch[c]), np.uint32) for c in ("samples_u", "samples_v"))
-            same = (a == b).reshape(len(batch), -1).mean(axis=1) if len(batch) else np.zeros(0)
-            yield batch.loc[same >= RULED_OUT, ["u", "v"]]
-
-    return pairs.mapInPandas(agreeing, "u binary, v binary").distinct()
-
-
 def _joining(outside: list[tuple], inside: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
     """Links between texts of different parts, at most one for each two parts it joins.
 
@@ -393,10 +379,7 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("u_part <> v_part")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     )
-    by_u = signed.select(F.col("node").alias("u"), F.col("samples").alias("samples_u"))
-    by_v = signed.select(F.col("node").alias("v"), F.col("samples").alias("samples_v"))
-    possible = staged(_still_possible(open_.distinct().join(by_u, "u").join(by_v, "v")))
-    more = _verified(possible, wanted, weights).where("similar").select("u", "v")
+    more = _verified(open_.distinct(), wanted, weights).where("similar").select("u", "v")
     more = staged(more.union(_crowded_links(met, parts, wanted, weights)))
     if more.isEmpty():
         return linked, parts

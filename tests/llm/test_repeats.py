@@ -143,6 +143,26 @@ def test_near_duplicates_of_documents(spark, sf_dir):
     check_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def test_near_duplicates_whose_samples_hardly_agree(spark, monkeypatch):
+    """What meets in one band only, by unlucky samples, is compared nevertheless."""
+
+    def unlucky(ids, log_weight, starts):
+        own = np.add.reduceat(ids, starts)
+        out = (own[:, None] * np.arange(1, 97, 2, dtype=np.uint64) >> np.uint64(32)).astype(np.uint32)
+        out[:, : near_dup.ROWS] = 7
+        return out
+
+    monkeypatch.setattr(near_dup, "samples", unlucky)
+    rnd = random.Random(17)
+    rows = []
+    for _ in range(8):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(90)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:86] + ["end"]))]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    check_classes(documents)
+    assert {r.class_id for r in near_dup.classes(documents).collect()} == set(range(0, 16, 2))
+
+
 def test_near_duplicates_in_crowds(spark, monkeypatch):
     """Large groups of near copies, of which many are unlike any hub."""
     for name, value in (("CROWD", 3), ("OUTSIDE", 4), ("INSIDE", 8)):
