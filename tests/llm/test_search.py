@@ -32,6 +32,19 @@ def test_recall(spark):
     assert all((rows.score.diff().dropna() <= 0).all() for _, rows in found)
 
 
+def test_recall_where_the_share_of_rows_met_decides():
+    """More vectors than ``FEW`` is half of, of one length as those of the table are."""
+    rnd = np.random.default_rng(21)
+    vectors = rnd.normal(size=(6000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids, asked = rnd.permutation(6000), np.arange(200)
+    assert hash_forest.MET * len(ids) > hash_forest.FEW
+    want = exhaustive(ids, vectors, asked, 20)
+    q, _, found = hash_forest.search_share(ids, vectors, ids[asked], vectors[asked], 20, hash_forest.MET)
+    hits = [len(set(found[q == k].tolist()) & set(want[int(ids[row])])) for k, row in enumerate(asked)]
+    assert np.mean(hits) / 20 >= 0.9
+
+
 def test_a_forest_meets_what_is_wanted():
     rnd = np.random.default_rng(3)
     vectors = rnd.normal(size=(5000, 16)) * rnd.uniform(0.5, 2, (5000, 1))
