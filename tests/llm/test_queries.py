@@ -2,13 +2,17 @@
 
 import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from cestero.llm import near_dup, packing, quality, suffix_dedup, toxicity
 from cestero.llm.queries import ORACLE_SQL, QUERIES
 from cestero.llm.text import table
+from test_repeats import left_over, similar_classes
 
 COLUMNS = {
     "op1": "doc_id held_out score predicted",
@@ -71,6 +75,32 @@ def test_stages_keep_the_columns_and_take_effect(spark, sf_dir):
     assert set(text) >= {i for i, _ in placed} and max(placed.values()) <= packing.LENGTH
 
 
+def test_the_pipeline_against_brute_force(spark, sf_dir):
+    """``run`` on the small table against pairs, byte strings and the tokenizer library."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    toxic, good = toxicity.fit(docs, labels), quality.fit(docs, labels)
+    scored = docs.select(
+        "doc_id", "text", toxicity.toxicity(docs.text, toxic).alias("t"), quality.quality(docs.text, good).alias("q")
+    )
+    rows = [(r.doc_id, r.text) for r in scored.collect() if r.t < 0.3 and r.q >= 0.7]
+    first = {class_id for _, class_id in similar_classes(rows)}
+    assert 0 < len(first) <= len(rows) and len({i for i, _ in rows}) == len(rows)
+    kept = left_over([(i, text) for i, text in rows if i in first])
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {}
+    for (i, _), (raw, _) in kept.items():
+        ids = [*library.encode(raw.decode("utf-8", "ignore"), add_special_tokens=False).ids, packing.END]
+        for piece, at in enumerate(range(0, len(ids), packing.LENGTH)):
+            cut = ids[at : at + packing.LENGTH]
+            want[i, piece] = at, len(cut), zlib.crc32(np.array(cut, "<u4").tobytes())
+    placed = corpus_pipeline.run(spark, sf_dir).collect()
+    assert len(placed) == len(want)
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in placed} == want
+    taken = sorted((r.sequence_id, r.offset, r.length) for r in placed)
+    assert all(o + n <= packing.LENGTH for _, o, n in taken)
+    assert all(a[0] < b[0] or a[1] + a[2] <= b[1] for a, b in zip(taken, taken[1:]))
+
+
 def test_stages_on_odd_rows(spark, sf_dir, odd, nothing):
     for docs in (odd, nothing):
         for name, stage in corpus_pipeline.STAGES:
