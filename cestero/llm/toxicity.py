@@ -8,16 +8,19 @@ coordinate and drives the weights of all uninformative ones to exactly zero
 corpus is.
 
 A null or empty text has no feature and scores the intercept; repeated words
-count once; a text of any length is scored whole.
+count once; a text of any length is scored whole. Repeated rows and rows without
+an id are scored like all others; learning takes labelled rows with an id only,
+a repeated one each time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -25,8 +28,8 @@ from pyspark.sql.types import DoubleType
 from cestero.llm.text import Memo, labelled_texts, mixed, word_hash, word_hashes
 
 BITS = 20
-#: Texts to learn from, at most; their hashed features are what the driver gets.
-SAMPLE = 10_000
+#: Texts to learn from, at most, and features of them in all, which are 4 bytes each.
+SAMPLE, FEATURES = 10_000, 1 << 26
 THRESHOLD = 0.3
 
 # One odd multiplier for each distance between the two words of a pair.
@@ -61,8 +64,23 @@ class ToxicityModel:
         return dense
 
 
+class Examples:
+    """Features of texts one after the other in one array, with where each text begins."""
+
+    def __init__(self, features: Sequence[np.ndarray], labels: Sequence[int]):
+        self.flat = np.concatenate([np.zeros(0, np.int32), *features])
+        self.start = np.cumsum([0, *map(len, features)])
+        self.labels = np.array(labels, np.float64)
+
+    def __len__(self) -> int:
+        return len(self.labels)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, float]:
+        return self.flat[self.start[k] : self.start[k + 1]], self.labels[k]
+
+
 def fit_ftrl(
-    rows: list[tuple[np.ndarray, int]],
+    rows: Sequence[tuple[np.ndarray, int]],
     alpha: float = 1.0,
     beta: float = 1.0,
     l1: float = 2.5,
@@ -101,27 +119,66 @@ def fit_ftrl(
     )
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    """Learn ``labels.toxic``; features are made on the executors."""
+def within(sizes: Iterable[int], most: int) -> int:
+    """How many of ``sizes``, from the first on, add up to ``most`` or less."""
+    count = 0
+    for size in sizes:
+        most -= size
+        if most < 0:
+            break
+        count += 1
+    return count
+
+
+def fit(
+    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = FEATURES
+) -> ToxicityModel:
+    """Learn ``labels.toxic``; features are made and learnt from on the executors.
+
+    At most ``sample`` texts, in the order of a hash of the id, and of these the
+    first whose features are ``most`` at most. One task learns from them, and the
+    driver gets the weights that are not zero.
+    """
     texts = labelled_texts(documents, labels, "toxic", sample)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Memo(word_hash)
         for batch in batches:
-            found = [
-                np.unique(coordinates(word_hashes(t, memo))).tobytes() for t in batch["text"]
-            ]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "features": found, "label": batch["label"]}
-            )
-
-    got = texts.mapInPandas(features, "doc_id long, features binary, label int").toPandas()
-    got = got.sort_values(["doc_id", "label", "features"])
-    return fit_ftrl(
-        [
-            (np.frombuffer(f, np.int32).astype(np.int64), int(y))
-            for f, y in zip(got["features"], got["label"])
-        ]
+            for k in range(0, len(batch), 64):
+                part = batch.iloc[k : k + 64]
+                found = [np.unique(coordinates(word_hashes(t, memo))).tobytes() for t in part["text"]]
+                yield pd.DataFrame(
+                    {"doc_id": part["doc_id"], "features": found, "label": part["label"]}
+                )
+
+    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, room = [], most
+        for batch in batches:
+            found = [np.frombuffer(f.as_buffer(), np.int32) for f in batch.column("features")]
+            count = within(map(len, found), room)
+            labels_ = batch.column("label").to_pylist()
+            ids = batch.column("doc_id").to_pylist()
+            rows += [(i, y, f.copy()) for i, y, f in zip(ids[:count], labels_, found)]
+            room -= sum(map(len, found[:count]))
+            if count < len(found):
+                break
+        rows.sort(key=lambda row: (row[0], row[1], row[2].tobytes()))
+        model = fit_ftrl(Examples([f for _, _, f in rows], [y for _, y, _ in rows]))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "index": pa.array([model.index], pa.list_(pa.int32())),
+                "weight": pa.array([model.weight], pa.list_(pa.float32())),
+                "intercept": pa.array([model.intercept]),
+            }
+        )
+
+    made = texts.mapInPandas(features, "doc_id long, features binary, label int")
+    in_order = made.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "label", "features")
+    got = in_order.mapInArrow(learnt, "index array<int>, weight array<float>, intercept double").first()
+    if got is None:  # no row to learn from
+        return fit_ftrl([])
+    return ToxicityModel(
+        np.array(got["index"], np.int32), np.array(got["weight"], np.float32), got["intercept"]
     )
 
 

@@ -1,6 +1,8 @@
 """Quality and toxicity: held-out accuracy, odd rows, and what a model may see."""
 
+import math
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -65,6 +67,40 @@ def test_ftrl_keeps_few_weights():
     assert model.table()[7] > 1 and len(model.index) < 100
 
 
+def test_ftrl_against_a_loop_over_dictionaries():
+    rnd = np.random.default_rng(3)
+    rows = [(np.unique(rnd.integers(0, 300, 30)), int(rnd.random() < 0.4)) for _ in range(150)]
+    z, n, last, l1 = defaultdict(float), defaultdict(float), 1 << toxicity.BITS, 0.5
+
+    def weight(i):
+        if i != last and abs(z[i]) <= l1:
+            return 0.0
+        shrunk = z[i] if i == last else math.copysign(abs(z[i]) - l1, z[i])
+        return -shrunk / (1.0 + math.sqrt(n[i]))
+
+    order = np.random.default_rng(7)
+    for _ in range(3):
+        for k in order.permutation(len(rows)):
+            features = [*rows[k][0].tolist(), last]
+            w = {i: weight(i) for i in features}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - rows[k][1]
+            for i in features:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) * w[i]
+                n[i] += g * g
+    model = toxicity.fit_ftrl(rows, l1=l1, epochs=3)
+    want = {i: weight(i) for i in range(300) if weight(i)}
+    assert want and dict(zip(model.index.tolist(), model.weight.tolist())) == pytest.approx(want, rel=1e-5)
+    assert model.intercept == pytest.approx(weight(last))
+
+
+def test_features_to_learn_from_are_bounded(odd):
+    assert toxicity.within([3, 4, 5], 7) == 2 and toxicity.within([8], 7) == 0
+    known = odd.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    every = toxicity.fit(odd, known)
+    assert np.array_equal(toxicity.fit(odd, known, most=1 << 24).weight, every.weight)
+    assert not len(toxicity.fit(odd, known, most=0).index)
+
+
 def test_statistics_of_slices_are_those_of_the_whole(monkeypatch):
     text = "Some words, and MORE words!\n" * 200
     whole = quality.statistics(text, Memo(quality._traits))
