@@ -10,8 +10,12 @@ from cestero.llm import (
     bpe,
     hash_forest,
     near_dup,
+    oracle,
     packing,
     quality,
+    repair,
+    sharding,
+    spelling,
     suffix_dedup,
     token_counts,
     topk,
@@ -111,6 +115,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -122,8 +138,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe": op10_bpe,
+    "op11_repair": op11_repair,
+    "op12_spelling": op12_spelling,
+    "op13_sharding": op13_sharding,
 }
 ORACLE_SQL: dict[str, str] = {
+    **oracle.ORACLE_SQL,
     "op4_warc_fixity": """
         WITH records AS (
             SELECT page_id, concat(

@@ -25,10 +25,13 @@ COLUMNS = {
     "op8": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12": "word form root n n_near form_n",
+    "op13": "doc_id size text_crc32 law shard slot grown_shard",
 }
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_all_queries_and_the_pipeline_are_registered():
     assert {n.split("_")[0] for n in QUERIES} == set(COLUMNS)
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLE_SQL) <= set(entry_points.oracle_sql())
@@ -39,7 +42,7 @@ def test_columns_and_rows(spark, sf_dir, name):
     got = QUERIES[name](spark, sf_dir)
     number = name.split("_")[0]
     assert set(COLUMNS[number].split()) <= set(got.columns)
-    if number in ("op1", "op2", "op6", "op7", "op9", "op10"):
+    if number in ("op1", "op2", "op6", "op7", "op9", "op10", "op13"):
         assert got.count() == table(spark, sf_dir, "documents").count()
 
 
