@@ -324,6 +324,8 @@ SAME_ROWS = {
     "rules_csv_roundtrip": "association_rules",
     "report_recommendations": "association_rules",
     "itemsets_csv_roundtrip": "frequent_itemsets",
+    "frequent_itemsets_by_bitmaps": "frequent_itemsets",
+    "association_rules_by_bitmaps": "association_rules",
     "json_records_roundtrip": "daily_sales",
     "report_summary_metrics": "basic_metrics",
     "report_distribution": "purchase_frequency_histogram",

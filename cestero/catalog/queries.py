@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cestero.catalog import tables
-from cestero.operators import baskets, customers, mining, products, quality, summary, temporal
+from cestero.operators import baskets, customers, mining, products, quality, summary, temporal, vertical
 from cestero.plans import job, summaries
 from cestero.sinks import mining as mining_files
 from cestero.sinks.delimited import write_delimited
@@ -486,6 +486,22 @@ def frequent_itemsets(spark, sf_dir):
     return joined(_mined(spark, sf_dir)[0], "items")
 
 
+def _mined_by_bitmaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sets = tables.type_baskets(spark, sf_dir)
+    found = summaries.market_basket(sets, search=vertical.mine_itemsets)
+    return found["frequent_itemsets"], found["association_rules"]
+
+
+@query
+def frequent_itemsets_by_bitmaps(spark, sf_dir):
+    return joined(_mined_by_bitmaps(spark, sf_dir)[0], "items")
+
+
+@query
+def association_rules_by_bitmaps(spark, sf_dir):
+    return _flat_rules(_mined_by_bitmaps(spark, sf_dir)[1])
+
+
 @query
 def top_itemsets(spark, sf_dir):
     return mining.top_itemsets(joined(_mined(spark, sf_dir)[0], "items"))

@@ -53,11 +53,11 @@ def frequent_items(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> Data
 
 @dataclass(frozen=True)
 class MinedItemsets:
-    """Result of a search: stored itemsets, number of baskets, Spark's model."""
+    """Result of a search: stored itemsets, number of baskets, Spark's model if it made one."""
 
     itemsets: DataFrame
     n_baskets: int
-    model: FPGrowthModel
+    model: FPGrowthModel | None
 
 
 def mine_itemsets(

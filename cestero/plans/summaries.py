@@ -156,9 +156,13 @@ def market_basket(
     source: str | None = None,
     num_partitions: int | None = None,
     stage: Callable[[DataFrame], DataFrame] = stage_table,
+    search: Callable[..., mining.MinedItemsets] = mining.mine_itemsets,
 ) -> dict[str, object]:
     """Frequent itemsets and rules of receipts, or of baskets with ``items``.
 
+    ``search`` is FP-growth, or ``vertical.mine_itemsets``, which needs no item
+    names on the driver and gives the same itemsets, but no model.
+
     With ``reuse_path`` the result of an earlier search is taken from there if it
     was made with the same parameters, the same ``source`` name, which has to be
     given, and of the same baskets; it is stored there otherwise. Reading the
@@ -176,7 +180,7 @@ def market_basket(
         stored = load_mining(baskets_or_tx.sparkSession, reuse_path, parameters)
         if stored:
             return {"frequent_itemsets": stored[0], "association_rules": stored[1], "model": None}
-    mined = mining.mine_itemsets(sets, min_support, min_confidence, num_partitions, stage)
+    mined = search(sets, min_support, min_confidence, num_partitions, stage)
     rules = mining.association_rules(mined.itemsets, mined.n_baskets, min_confidence)
     if reuse_path:
         save_mining(mined.itemsets, rules, reuse_path, parameters)
