@@ -313,6 +313,9 @@ FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1, 2
 """,
     "csv_roundtrip": """
 SELECT transaction_date, store_id, customer_id, products FROM tx
+""",
+    "incremental_load": """
+SELECT transaction_date, store_id, customer_id, products, 0 AS reloaded FROM tx
 """,
 }
 

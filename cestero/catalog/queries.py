@@ -16,6 +16,7 @@ from cestero.sinks.delimited import write_delimited
 from cestero.sinks.reports import Reports, json_records
 from cestero.sinks.shared import passing_folder
 from cestero.sources import DelimitedSource, ingest
+from cestero.sources.incremental import load_changes, read_loaded
 from cestero.sources.ingest import read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +122,32 @@ def ingest_roundtrip(spark, sf_dir):
     return read_ingested(spark, target, ID_TYPE)
 
 
+@query
+def incremental_load(spark, sf_dir):
+    """Receipts in two files, of which the second is first half of itself; loaded three times.
+
+    ``reloaded`` is what the last load, of unchanged files, took: nothing.
+    """
+    columns = ("transaction_date", "store_id", "customer_id", "products")
+    tx = tables.transactions(spark, sf_dir)
+    base, target = passing_folder(spark), passing_folder(spark)
+    late = F.year("transaction_date") >= 1998
+
+    def deliver(name: str, rows: DataFrame) -> None:
+        write_delimited(rows.select(*columns), f"{base}/transactions/{name}")
+
+    def load() -> int:
+        settings = {"pattern": "*/*.csv", "id_type": ID_TYPE, "drop_missing": True}
+        return load_changes(spark, base, target, **settings).files
+
+    deliver("early", tx.where(F.coalesce(~late, F.lit(True))))
+    deliver("late", tx.where(late & (F.col("transaction_id") % 2 == 0)))
+    load()
+    deliver("late", tx.where(late))
+    load()
+    return read_loaded(spark, target, ID_TYPE).withColumn("reloaded", F.lit(load()))
+
+
 # --- executive summary -------------------------------------------------------
 
 

@@ -35,6 +35,11 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def passing_folder(spark: SparkSession) -> str:
     """A ``shared_folder`` that is removed when this process ends, if its session still runs.
 

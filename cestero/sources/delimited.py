@@ -21,7 +21,7 @@ SEPARATOR = "|"
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     header: bool = False,
     sep: str = SEPARATOR,
