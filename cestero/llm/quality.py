@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from cestero.llm.text import Memo, labelled_texts, mixed, slices, word_hash
+from cestero.llm.text import Memo, kept_by, labelled_texts, mixed, slices, word_hash
 
 #: Texts to learn from, at most; their statistics are what the driver gets.
 SAMPLE = 20_000
@@ -66,12 +66,12 @@ STATISTICS = (
 
 
 def _traits(chunk: str) -> tuple[int, int]:
-    """Hash of a word; its length, capped, with three flags in the bits above 8."""
+    """Hash of a word; its length, above three bits of flags."""
     bare = chunk.rstrip(".,;:?!\"')")
     odd = bool(bare) and not bare[-1].isalnum()
     letters = any(c.isalpha() for c in chunk)
-    flags = (len(chunk) > 1 and chunk.isupper()) << 8 | odd << 9 | (not letters) << 10
-    return word_hash(chunk), min(len(chunk), 255) | flags
+    flags = (len(chunk) > 1 and chunk.isupper()) | odd << 1 | (not letters) << 2
+    return word_hash(chunk), len(chunk) << 3 | flags
 
 
 def statistics(text: str, memo: Memo) -> np.ndarray:
@@ -95,16 +95,16 @@ def statistics(text: str, memo: Memo) -> np.ndarray:
     if n:
         words = np.array([w for w, _ in found], np.uint64)
         trait = np.array([t for _, t in found], np.int64)
-        length = trait & 255
+        length = trait >> 3
         counts = np.unique(words, return_counts=True)[1]
         out[base + 1 : base + 9] = (
             np.log1p(n),
             length.mean(),
             length.std(),
             (length > 20).mean(),
-            (trait >> 8 & 1).mean(),
-            (trait >> 9 & 1).mean(),
-            (trait >> 10 & 1).mean(),
+            (trait & 1).mean(),
+            (trait >> 1 & 1).mean(),
+            (trait >> 2 & 1).mean(),
             len(counts) / n,
         )
         pairs = mixed(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
@@ -231,6 +231,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Qualit
     texts = labelled_texts(documents, labels, "quality", sample)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by("quality")
         memo = Memo(_traits)
         for batch in batches:
             x = [statistics(t, memo).tobytes() for t in batch["text"]]
@@ -247,6 +248,7 @@ def quality(text: Column, model: QualityModel) -> Column:
 
     @F.pandas_udf(DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept_by("quality")
         memo = Memo(_traits)
         for batch in batches:
             scores = [

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cestero.llm.text import mixed, staged
+from cestero.llm.text import kept_by, mixed, staged
 
 SPAN, GRAM = 100, 32
 #: Different surroundings of a bucket that one task refines by itself, at most.
@@ -143,6 +143,7 @@ def _locally_settled(q, c, doc, at) -> pa.RecordBatch:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept_by("suffix dedup")
     held: list[tuple] = []
     size = 0
     for batch in batches:

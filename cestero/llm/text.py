@@ -75,15 +75,20 @@ class Memo(dict):
         self[key] = value
 
 
-def of_worker(owner: str, name: str, make):
-    """``make()`` once for a worker process, which outlives a task.
+def kept_by(owner: str) -> dict:
+    """What an operator, the ``owner``, keeps in a worker process, which outlives a task.
 
-    What another operator, an ``owner``, has left there is let go first.
+    What another one has left there is let go first, also if this one keeps nothing.
     """
     kept = sys.__dict__.setdefault("_cestero_kept", {})
     if kept.keys() - {owner}:
         kept.clear()
-    own = kept.setdefault(owner, {})
+    return kept.setdefault(owner, {})
+
+
+def of_worker(owner: str, name: str, make):
+    """``make()`` once for a worker process."""
+    own = kept_by(owner)
     if name not in own:
         own[name] = make()
     return own[name]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from cestero.llm.text import Memo, labelled_texts, mixed, word_hash, word_hashes
+from cestero.llm.text import Memo, kept_by, labelled_texts, mixed, word_hash, word_hashes
 
 BITS = 20
 #: Texts to learn from, at most, and features of them in all, which are 4 bytes each.
@@ -67,10 +67,8 @@ class ToxicityModel:
 class Examples:
     """Features of texts one after the other in one array, with where each text begins."""
 
-    def __init__(self, features: Sequence[np.ndarray], labels: Sequence[int]):
-        self.flat = np.concatenate([np.zeros(0, np.int32), *features])
-        self.start = np.cumsum([0, *map(len, features)])
-        self.labels = np.array(labels, np.float64)
+    def __init__(self, flat: np.ndarray, start: np.ndarray, labels: np.ndarray):
+        self.flat, self.start, self.labels = flat, start, labels
 
     def __len__(self) -> int:
         return len(self.labels)
@@ -142,6 +140,7 @@ def fit(
     texts = labelled_texts(documents, labels, "toxic", sample)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by("toxicity")
         memo = Memo(word_hash)
         for batch in batches:
             for k in range(0, len(batch), 64):
@@ -152,18 +151,23 @@ def fit(
                 )
 
     def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, room = [], most
-        for batch in batches:
-            found = [np.frombuffer(f.as_buffer(), np.int32) for f in batch.column("features")]
-            count = within(map(len, found), room)
-            labels_ = batch.column("label").to_pylist()
-            ids = batch.column("doc_id").to_pylist()
-            rows += [(i, y, f.copy()) for i, y, f in zip(ids[:count], labels_, found)]
-            room -= sum(map(len, found[:count]))
-            if count < len(found):
+        kept_by("toxicity")
+        flat, sizes, labels_, room = [np.zeros(0, np.int32)], [], [], most
+        for batch in filter(len, batches):
+            column = batch.column("features")
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1] // 4
+            own = np.diff(ends)
+            count = within(own.tolist(), room)
+            values = np.frombuffer(column.buffers()[2] or b"", np.int32)
+            flat.append(values[ends[0] : ends[count]].copy())
+            sizes.append(own[:count])
+            labels_.append(batch.column("label").to_numpy()[:count])
+            room -= len(flat[-1])
+            if count < len(own):
                 break
-        rows.sort(key=lambda row: (row[0], row[1], row[2].tobytes()))
-        model = fit_ftrl(Examples([f for _, _, f in rows], [y for _, y, _ in rows]))
+        start = np.cumsum(np.concatenate(([0], *sizes)))
+        examples = Examples(np.concatenate(flat), start, np.concatenate([[], *labels_]))
+        model = fit_ftrl(examples)
         yield pa.RecordBatch.from_pydict(
             {
                 "index": pa.array([model.index], pa.list_(pa.int32())),
@@ -187,6 +191,7 @@ def toxicity(text: Column, model: ToxicityModel) -> Column:
 
     @F.pandas_udf(DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept_by("toxicity")
         memo, weight = Memo(word_hash), model.table()
         for batch in batches:
             sums = np.full(len(batch), model.intercept)
