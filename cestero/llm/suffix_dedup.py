@@ -26,8 +26,9 @@ on the identifiers themselves, which combines before it shuffles.
 
 Identifiers have 64 bits, and two of them have to agree. A null text is the
 empty one. Texts under ``SPAN`` bytes keep all. A null id comes after all
-others; rows of equal id but different text are ordered by a hash of the text;
-rows alike in id and text are one document, and each gets that document's result.
+others; rows of equal id but different text are ordered by a digest of the text,
+120 bits of its MD5; rows alike in id and text are one document, and each gets
+that document's result.
 """
 
 from __future__ import annotations
@@ -103,15 +104,18 @@ def anchors(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
         yield at, buckets, around
 
 
-_ANCHOR = "route long, q long, c long, doc long, at long"
+_ANCHOR = "route long, q long, c long, doc long, ta long, tb long, at long"
 
 
-def _locally_settled(q, c, doc, at) -> pa.RecordBatch:
-    """Rows of anchors for the shuffle.
+def _locally_settled(q, c, own, at, docs: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    """Rows of anchors for the shuffle; ``own`` is the place of an anchor's document in ``docs``.
 
     ``at`` is negative for anchors that are settled: an earlier one of this
     task has the same surroundings.
     """
+    keys = sorted(set(docs))
+    rank = {key: k for k, key in enumerate(keys)}
+    doc = np.array([rank[key] for key in docs])[own]
     order = np.lexsort((at, doc, c, q))
     q, c, doc, at = q[order], c[order], doc[order], at[order]
     new_q = np.ones(len(q), bool)
@@ -129,41 +133,45 @@ def _locally_settled(q, c, doc, at) -> pa.RecordBatch:
     at = np.where(first, at, -1 - at)
     keep = ~again
     marks = new_q & crowded
+    table = np.array(keys, np.int64).reshape(-1, 3)
     columns = [
         np.concatenate((x[keep], y))
         for x, y in (
             (route, q[marks]),
             (q, q[marks]),
             (c, ~c[marks]),
-            (doc, doc[marks]),
+            *((column[doc], column[doc[marks]]) for column in table.T),
             (at, np.full(marks.sum(), _MARK)),
         )
     ]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["route", "q", "c", "doc", "at"])
+    names = ["route", "q", "c", "doc", "ta", "tb", "at"]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept_by("suffix dedup")
     held: list[tuple] = []
+    docs: list[tuple[int, int, int]] = []
     size = 0
     for batch in batches:
-        docs, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for doc, th, text in zip(docs, hashes, batch.column(2)):
+        keys = zip(*(batch.column(k).to_pylist() for k in range(3)))
+        for key, text in zip(keys, batch.column(3)):
+            docs.append(key)
             for at, buckets, around in anchors(text.as_buffer().to_pybytes()):
                 held.append(
                     (
                         buckets.view(np.int64),
                         np.array(around, np.uint64).view(np.int64),
-                        np.full(len(at), doc, np.int64),
-                        th << 32 | at,
+                        np.full(len(at), len(docs) - 1, np.int32),
+                        at,
                     )
                 )
                 size += len(at)
             if size >= 1 << 19:
-                yield _locally_settled(*map(np.concatenate, zip(*held)))
-                held, size = [], 0
+                yield _locally_settled(*map(np.concatenate, zip(*held)), docs)
+                held, docs, size = [], [], 0
     if held:
-        yield _locally_settled(*map(np.concatenate, zip(*held)))
+        yield _locally_settled(*map(np.concatenate, zip(*held)), docs)
 
 
 def _settled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,20 +182,22 @@ def _settled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     pending = None  # (q, row of its only surroundings so far or None if there are several)
     last = None  # the row before
     for batch in batches:
-        route, q, c, doc, at = (batch.column(k).to_numpy() for k in range(5))
+        route, q, c, doc, ta, tb, at = (batch.column(k).to_numpy() for k in range(7))
         done = at < 0
-        parts = [(doc[done], -1 - at[done], q[done], np.ones(done.sum(), bool))]
-        route, q, c, doc, at = (x[~done] for x in (route, q, c, doc, at))
+        parts = [(doc[done], ta[done], tb[done], -1 - at[done], q[done], np.ones(done.sum(), bool))]
+        rows = [x[~done] for x in (route, q, c, doc, ta, tb, at)]
+        route, q, c, doc, ta, tb, at = rows
         if len(q):
-            before = last or (0, 0, 0, 0, 0)
-            shifted = [np.concatenate(([v], x[:-1])) for v, x in zip(before, (route, q, c, doc, at))]
-            new_q = (route != shifted[0]) | (q != shifted[1])
+            before = last or (0,) * len(rows)
+            same = [x == np.concatenate(([v], x[:-1])) for v, x in zip(before, rows)]
+            new_q = ~(same[0] & same[1])
             new_q[0] |= last is None
-            first = new_q | (c != shifted[2])
-            again = ~first & (doc == shifted[3]) & (at == shifted[4])
-            last = tuple(int(x[-1]) for x in (route, q, c, doc, at))
-            rest = ~first & ~again
-            parts.append((doc[rest], at[rest], q[rest], np.ones(rest.sum(), bool)))
+            first = new_q | ~same[2]
+            again = ~first & same[3] & same[4] & same[5] & same[6]
+            last = tuple(int(x[-1]) for x in rows)
+            rest = ~first & ~again & (at != _MARK)
+            own = (doc, ta, tb, at, q)
+            parts.append((*(x[rest] for x in own), np.ones(rest.sum(), bool)))
             bucket = np.cumsum(new_q)  # 0: goes on from the batch before
             size = np.bincount(bucket, first, minlength=bucket[-1] + 1)
             held = pending if bucket[0] == 0 else None
@@ -198,29 +208,22 @@ def _settled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 size[0] = max(size[0], 2)
             known = (size[bucket] > 1) | (route != q)
             refined = first & known & (at != _MARK)
-            parts.append((doc[refined], at[refined], q[refined], np.zeros(refined.sum(), bool)))
+            parts.append((*(x[refined] for x in own), np.zeros(refined.sum(), bool)))
             if bucket[-1] > 0:
                 k = np.flatnonzero(first & (bucket == bucket[-1]))
                 alone = len(k) == 1 and route[k[0]] == q[k[0]]
                 row = None
                 if alone:
                     kept = np.array([at[k[0]] != _MARK])
-                    row = tuple(x[k][kept] for x in (doc, at, q)) + (np.zeros(kept.sum(), bool),)
+                    row = (*(x[k][kept] for x in own), np.zeros(kept.sum(), bool))
                 pending = (int(q[-1]), row)
         columns = [np.concatenate(x) for x in zip(*parts)]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(columns[0]),
-                pa.array(columns[1] >> 32),
-                pa.array(columns[1] & 0xFFFFFFFF),
-                pa.array(columns[2]),
-                pa.array(columns[3]),
-            ],
-            ["doc", "th", "pos", "q", "settled"],
+            [pa.array(x) for x in columns], ["doc", "ta", "tb", "pos", "q", "settled"]
         )
 
 
-_AROUND = "q long, doc long, th long, pos long, left int, around binary"
+_AROUND = "q long, doc long, ta long, tb long, pos long, left int, around binary"
 
 
 def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,7 +231,7 @@ def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     reach = SPAN - GRAM
     for batch in batches:
         columns = (batch[c] for c in (*_KEY, "text", "hits__"))
-        for doc, th, text, hits in zip(*columns):
+        for doc, ta, tb, text, hits in zip(*columns):
             raw = text.encode()
             q, pos = np.asarray(hits["q"], np.int64), np.asarray(hits["pos"], np.int64)
             left = np.minimum(pos, reach)
@@ -236,7 +239,8 @@ def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 {
                     "q": q,
                     "doc": doc,
-                    "th": th,
+                    "ta": ta,
+                    "tb": tb,
                     "pos": pos,
                     "left": left.astype(np.int32),
                     "around": [raw[p - x : p + SPAN] for p, x in zip(pos.tolist(), left.tolist())],
@@ -282,14 +286,14 @@ def _refined_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         q, pos, left = (rows[c].to_numpy() for c in ("q", "pos", "left"))
         k, start, stop = _refined(q, pos.astype(np.int64), left, list(rows["around"]))
-        out = rows[["doc", "th"]].iloc[k].copy()
+        out = rows[["doc", "ta", "tb"]].iloc[k].copy()
         out["start"], out["stop"] = start, stop
         return out
 
     held: list[pd.DataFrame] = []
     before = None  # the place of the last row
     for batch in batches:
-        places = batch[["q", "doc", "th", "pos"]].to_numpy()
+        places = batch[["q", "doc", "ta", "tb", "pos"]].to_numpy()
         new = np.ones(len(places), bool)
         new[1:] = (places[1:] != places[:-1]).any(axis=1)
         if len(places):
@@ -320,44 +324,51 @@ def _string_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             strings, there = string_identifiers(part["left"].to_numpy(), list(part["around"]))
             row, offset = np.nonzero(there)
             start = part["pos"].to_numpy()[row] - (SPAN - GRAM) + offset
-            out = part[["q", "doc", "th"]].iloc[row].copy()
+            out = part[["q", "doc", "ta", "tb"]].iloc[row].copy()
             out["string"] = strings[there].view(np.int64)
             out["start"], out["offset"] = start, offset.astype(np.int32)
             yield out
 
 
-#: The key of a document: its id, and a hash of its text among rows of equal id.
-_KEY = ("doc__", "th__")
+#: The key of a document: its id, and a digest of its text among rows of equal id.
+_KEY = ("doc__", "ta__", "tb__")
+_NAMES = ("doc", "ta", "tb")
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """``documents`` with the key of a document, and a text that is never null."""
+    """Each of ``documents`` as a ``row``, with a text that is never null and the key.
+
+    Packed up, its columns cannot clash with those this module works with. The digest is cut into two numbers of 60 bits; above them, in the first, is
+    whether there is no id, which no id is equal to.
+    """
     text = F.coalesce("text", F.lit(""))
-    doc, th = _KEY
-    return documents.withColumns(
-        {
-            "text": text,
-            doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)),
-            th: F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF).cast("long")),
-        }
+    digest = F.md5(text.cast("binary"))
+    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long") for at in (1, 16)]
+    absent = F.col("doc_id").isNull().cast("long")
+    key = (
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)),
+        F.shiftleft(absent, 60).bitwiseOR(halves[0]),
+        halves[1],
     )
+    columns = (k.alias(name) for k, name in zip(key, _KEY))
+    return documents.select(F.struct(*documents.columns).alias("row"), text.alias("text"), *columns)
 
 
 def _renamed(rows: DataFrame) -> DataFrame:
-    return rows.withColumnsRenamed(dict(zip(("doc", "th"), _KEY)))
+    return rows.withColumnsRenamed(dict(zip(_NAMES, _KEY)))
 
 
 def repeated_stretches(documents: DataFrame, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
-    """``doc, th, start, stop`` of covered stretches, and the documents with their key."""
+    """``doc, ta, tb, start, stop`` of covered stretches, and the documents with their key."""
     source = keyed(documents)
-    key = [F.col(k).alias(name) for k, name in zip(_KEY, ("doc", "th"))]
+    key = [F.col(k).alias(name) for k, name in zip(_KEY, _NAMES)]
     sorted_anchors = (
         source.select(*key, F.col("text").cast("binary").alias("text"))
         .mapInArrow(_anchor_rows, _ANCHOR)
         .repartition("route")
-        .sortWithinPartitions("route", "q", "c", "doc", "at")
+        .sortWithinPartitions("route", "q", "c", *_NAMES, "at")
     )
-    schema = "doc long, th long, pos long, q long, settled boolean"
+    schema = "doc long, ta long, tb long, pos long, q long, settled boolean"
     found = staged(sorted_anchors.mapInArrow(_settled_rows, schema))
     open_ = found.where(~F.col("settled"))
     crowded = open_.groupBy("q").count().where(F.col("count") > crowd).select("q")
@@ -365,30 +376,30 @@ def repeated_stretches(documents: DataFrame, crowd: int = CROWD) -> tuple[DataFr
     def around(rows: DataFrame) -> DataFrame:
         """The text is shuffled by key once for both uses and for the last join."""
         lists = F.struct(F.collect_list("q").alias("q"), F.collect_list("pos").alias("pos"))
-        hits = _renamed(rows.groupBy("doc", "th").agg(lists.alias("hits__")))
+        hits = _renamed(rows.groupBy(*_NAMES).agg(lists.alias("hits__")))
         return source.join(hits, list(_KEY)).mapInPandas(_surroundings, _AROUND)
 
-    stretch = "doc long, th long, start long, stop long"
+    stretch = "doc long, ta long, tb long, start long, stop long"
     refined = (
         around(open_.join(crowded, "q", "left_anti"))
         .repartition("q")
-        .sortWithinPartitions("q", "doc", "th", "pos")
+        .sortWithinPartitions("q", *_NAMES, "pos")
         .mapInPandas(_refined_rows, stretch)
     )
     strings = around(open_.join(crowded, "q", "left_semi")).mapInPandas(
-        _string_rows, "q long, doc long, th long, string long, start long, offset int"
+        _string_rows, "q long, doc long, ta long, tb long, string long, start long, offset int"
     )
     by = ["q", "string", "offset"]
-    place = F.struct("doc", "th", "start")
+    place = F.struct(*_NAMES, "start")
     earliest = strings.groupBy(*by).agg(F.min(place).alias("earliest"))
     crowds = (
         strings.join(earliest, by)
         .where(F.col("earliest") != place)
-        .select("doc", "th", "start", (F.col("start") + SPAN).alias("stop"))
+        .select(*_NAMES, "start", (F.col("start") + SPAN).alias("stop"))
     )
     first = F.greatest(F.col("pos") - (SPAN - GRAM), F.lit(0))
     settled = found.where("settled").select(
-        "doc", "th", first.alias("start"), (F.col("pos") + SPAN).alias("stop")
+        *_NAMES, first.alias("start"), (F.col("pos") + SPAN).alias("stop")
     )
     return settled.unionByName(refined).unionByName(crowds), source
 
@@ -429,9 +440,10 @@ def remove_repeats(documents: DataFrame, crowd: int = CROWD, into: str = "remain
     own = documents.drop(into)
     stretches, source = repeated_stretches(own, crowd)
     stretch = F.shiftleft("start", 32).bitwiseOR(F.col("stop"))
-    packed = _renamed(stretches.groupBy("doc", "th").agg(F.collect_list(stretch).alias("packed__")))
+    packed = _renamed(stretches.groupBy(*_NAMES).agg(F.collect_list(stretch).alias("packed__")))
     joined = source.join(packed, list(_KEY), "left")
-    return joined.select(*own.columns, remaining(F.col("text"), F.col("packed__")).alias(into))
+    columns = (F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in own.columns)
+    return joined.select(*columns, remaining(F.col("text"), F.col("packed__")).alias(into))
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -444,9 +456,10 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     def readable(kept: pd.Series) -> pd.Series:
         return kept.map(lambda raw: raw.decode("utf-8", "ignore"))
 
-    cut = remove_repeats(documents, into="remains__")
-    cut = cut.withColumn("text", readable(F.col("remains__.kept")))
+    packed = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "text")
+    text = readable(F.col("remains.kept"))
+    changed = {"text": text}
     if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.char_length("text").cast(kind))
-    return cut.select(*documents.columns)
+        changed["n_chars"] = F.char_length(text).cast(documents.schema["n_chars"].dataType)
+    columns = (changed.get(c, F.col("row")[c]).alias(c) for c in documents.columns)
+    return remove_repeats(packed).select(*columns)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cestero.llm import components, near_dup, suffix_dedup
@@ -238,3 +239,36 @@ def test_digest_of_copies(spark):
     digests = {r.doc_id: hashlib.sha256(bytes(r.remains.kept)).hexdigest() for r in got.collect()}
     assert digests[3] == hashlib.sha256(text.encode()).hexdigest()
     assert digests[5] == digests[9] == hashlib.sha256(b"").hexdigest()
+
+
+def test_texts_without_an_id_are_told_apart_by_all_of_their_digest(spark):
+    """Among them two whose 64-bit hashes agree in 31 bits; nothing in them occurs twice."""
+    rnd = random.Random(12)
+    seen, pair = {}, None
+    while pair is None:
+        text = "".join(rnd.choices("abcdefgh ", k=205))
+        short = xxhash.xxh64_intdigest(text.encode(), 42) & 0x7FFFFFFF
+        pair = (seen[short], text) if short in seen else None
+        seen[short] = text
+    rows = [(None, text) for text in pair] + [(None, t) for t in list(seen.values())[:2000]]
+    for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert bytes(r.remains.kept).decode() == r.text
+
+
+def test_no_id_is_not_the_last_id(spark):
+    text = "".join(random.Random(13).choices("abcdefgh ", k=300))
+    rows = [(None, text), ((1 << 63) - 1, text)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: len(r.remains.kept) for r in got} == {None: 0, (1 << 63) - 1: 300}
+
+
+def test_working_names_of_a_user_s_columns_are_kept(spark):
+    names = "row doc__ ta__ tb__ doc ta tb packed__ hits__ remains stretch".split()
+    rows = [(k, "".join(random.Random(k // 2).choices("abcd ", k=150)), *names) for k in range(4)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    cut = suffix_dedup.without_repeats(documents)
+    assert cut.columns == documents.columns
+    for r in cut.collect():
+        assert [r[n] for n in names] == names and len(r.text) == (0 if r.doc_id % 2 else 150)
+    digests = suffix_dedup.remove_repeats(documents, into="kept")
+    assert digests.columns == [*documents.columns, "kept"] and digests.where("ta__ = 'ta__'").count() == 4
