@@ -313,6 +313,12 @@ FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1, 2
 """,
     "csv_roundtrip": """
 SELECT transaction_date, store_id, customer_id, products FROM tx
+""",
+    "rejected_rows": """
+SELECT 'transactions' AS input, CASE (transaction_id // 10) % 5
+    WHEN 0 THEN 'store_id' WHEN 1 THEN 'customer_id' WHEN 2 THEN 'transaction_date' ELSE 'columns' END AS reason,
+  'damaged' AS folder, count(*) AS n, count(*) AS lines
+FROM tx WHERE transaction_id % 10 = 0 GROUP BY ALL
 """,
     "incremental_load": """
 SELECT transaction_date, store_id, customer_id, products, 0 AS reloaded FROM tx
@@ -322,6 +328,7 @@ SELECT transaction_date, store_id, customer_id, products, 0 AS reloaded FROM tx
 # Written out and read back, these give the rows of another query.
 SAME_ROWS = {
     "ingest_roundtrip": "csv_roundtrip",
+    "accepted_rows": "csv_roundtrip",
     "executive_summary_job": "executive_summary",
     "rules_roundtrip": "association_rules",
     "rules_csv_roundtrip": "association_rules",

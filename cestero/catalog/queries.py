@@ -17,7 +17,7 @@ from cestero.sinks.reports import Reports, json_records
 from cestero.sinks.shared import passing_folder
 from cestero.sources import DelimitedSource, ingest
 from cestero.sources.incremental import load_changes, read_loaded
-from cestero.sources.ingest import read_ingested
+from cestero.sources.ingest import read_ingested, read_quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,6 +122,52 @@ def ingest_roundtrip(spark, sf_dir):
     return read_ingested(spark, target, ID_TYPE)
 
 
+def _damaged_files(spark: SparkSession, sf_dir: str) -> str:
+    """Receipts as files, and one line that does not fit for every tenth order, of five kinds."""
+    base = passing_folder(spark)
+    tx = tables.transactions(spark, sf_dir)
+    columns = ("transaction_date", "store_id", "customer_id", "products")
+    write_delimited(tx.select(*columns), f"{base}/transactions/whole")
+    order, kind = F.col("transaction_id").cast("string"), F.floor(F.col("transaction_id") / 10) % 5
+    lines = {
+        0: ("1997-01-01", "store", order, "1 2"),
+        1: ("1997-01-01", "3", "unknown", order),
+        2: ("someday", "3", "4", order),
+        3: ("1997-01-01", order),
+        4: ("1997-01-01", "3", "4", "1 2", order),
+    }
+    cells = [
+        F.when(kind == k, F.concat_ws("|", *(c if c is order else F.lit(c) for c in line)))
+        for k, line in lines.items()
+    ]
+    bad = tables.transactions(spark, sf_dir, store=False, products=False)
+    bad = bad.where(F.col("transaction_id") % 10 == 0).select(F.coalesce(*cells).alias("value"))
+    bad.write.text(f"{base}/transactions/damaged")
+    _reference_files(spark, sf_dir, base)
+    return base
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> str:
+    target = passing_folder(spark)
+    base = _damaged_files(spark, sf_dir)
+    ingest(spark, base, target, pattern="*/part-*", id_type=ID_TYPE, quarantine=True)
+    return target
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    found = read_quarantine(spark, _quarantined(spark, sf_dir))
+    return found.withColumn("folder", F.element_at(F.split("file", "/"), -2)).groupBy(
+        "input", "reason", "folder"
+    ).agg(F.count("*").alias("n"), F.count_distinct("line").alias("lines"))
+
+
+@query
+def accepted_rows(spark, sf_dir):
+    """What a load with quarantine keeps of receipts with damaged lines among them."""
+    return read_ingested(spark, _quarantined(spark, sf_dir), ID_TYPE)
+
+
 @query
 def incremental_load(spark, sf_dir):
     """Receipts in two files, of which the second is first half of itself; loaded three times.

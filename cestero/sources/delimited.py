@@ -50,21 +50,28 @@ class DelimitedSource:
             raise ValueError(f"give a base path, or a path in place of <base>/{default}")
         return f"{self.base.rstrip('/')}/{default}"
 
+    def layout(self, name: str) -> tuple[str, T.StructType, bool]:
+        """Path, schema and header of one of the three inputs."""
+        if name == "transactions":
+            folder = self._path(self.transactions_path, TRANSACTIONS)
+            return f"{folder}/{self.pattern}", schemas.transactions_schema(self.id_type), False
+        if name == "categories":
+            return self._path(self.categories_path, CATEGORIES), schemas.categories_schema(), False
+        path = self._path(self.product_categories_path, PRODUCT_CATEGORIES)
+        return path, schemas.product_categories_schema(self.id_type), True
+
+    def _read(self, name: str) -> DataFrame:
+        return read_delimited(self.spark, *self.layout(name), sep=self.sep)
+
     def transactions(self, store_ids: Iterable[int] | None = None) -> DataFrame:
         """Receipts, by default of all stores, with the date as a date."""
-        folder = self._path(self.transactions_path, TRANSACTIONS)
-        schema = schemas.transactions_schema(self.id_type)
-        raw = read_delimited(self.spark, f"{folder}/{self.pattern}", schema, sep=self.sep)
-        return for_stores(raw.withColumn("transaction_date", day()), store_ids)
+        return for_stores(self._read("transactions").withColumn("transaction_date", day()), store_ids)
 
     def categories(self) -> DataFrame:
-        path = self._path(self.categories_path, CATEGORIES)
-        return read_delimited(self.spark, path, schemas.categories_schema(), sep=self.sep)
+        return self._read("categories")
 
     def product_categories(self) -> DataFrame:
-        path = self._path(self.product_categories_path, PRODUCT_CATEGORIES)
-        schema = schemas.product_categories_schema(self.id_type)
-        return read_delimited(self.spark, path, schema, header=True, sep=self.sep)
+        return self._read("product_categories")
 
     def stores(self) -> DataFrame:
         return available_stores(self.transactions())

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from cestero.sinks.shared import path_exists, remove_folder
+from cestero.sources import checked
 from cestero.sources.delimited import DelimitedSource
 
 # Fixed value: the receipt files that a load takes, one per store.
 RECEIPT_FILES = "*_Tran.csv"
 
+TABLES = ("transactions", "product_categories", "categories")
+
 
 def write_transactions(tx: DataFrame, path: str) -> None:
     """Replace the table at ``path``, laid out by store.
@@ -19,6 +26,27 @@ def write_transactions(tx: DataFrame, path: str) -> None:
     tx.hint("rebalance", "store_id").write.mode("overwrite").partitionBy("store_id").parquet(path)
 
 
+def _write(name: str, rows: DataFrame, path: str) -> None:
+    if name == "transactions":
+        write_transactions(rows, path)
+    else:
+        rows.write.mode("overwrite").parquet(path)
+
+
+def _without_rejected(name: str, flagged: DataFrame, path: str, quarantine: str) -> int:
+    """Write accepted rows, and rejected ones if the same pass has seen any; their number."""
+    spark = flagged.sparkSession
+    seen = Observation(f"rejected {name} {uuid.uuid4().hex}")
+    count = F.count_if(checked.is_rejected()).alias("rejected")
+    _write(name, checked.accepted(flagged.observe(seen, count)), path)
+    found = seen.get["rejected"]
+    if found:
+        checked.rejected(flagged).write.mode("overwrite").parquet(quarantine)
+    elif path_exists(spark, quarantine):
+        remove_folder(spark, quarantine)
+    return found
+
+
 def ingest(
     spark: SparkSession,
     data_dir: str,
@@ -26,20 +54,37 @@ def ingest(
     sep: str = "|",
     pattern: str = RECEIPT_FILES,
     id_type: str = "int",
+    quarantine: bool = False,
 ) -> dict[str, str]:
     """Load the three inputs below ``data_dir`` in place of what ``target`` has.
 
-    Returns the path of each table.
+    Returns the path of each table. With ``quarantine`` rows that do not fit their
+    columns stay out of the tables and go to one beside each (``read_quarantine``);
+    the files are read once more only if there are any.
     """
     source = DelimitedSource(spark, data_dir, sep=sep, pattern=pattern, id_type=id_type)
-    tables = ("transactions", "product_categories", "categories")
-    paths = {name: f"{target.rstrip('/')}/{name}" for name in tables}
-    write_transactions(source.transactions(), paths["transactions"])
-    for name in ("product_categories", "categories"):
-        getattr(source, name)().write.mode("overwrite").parquet(paths[name])
+    paths = {name: f"{target.rstrip('/')}/{name}" for name in TABLES}
+    for name, path in paths.items():
+        if quarantine:
+            flagged = getattr(checked.Checked(source), name)()
+            _without_rejected(name, flagged, path, f"{target.rstrip('/')}/quarantine/{name}")
+        else:
+            _write(name, getattr(source, name)(), path)
     return paths
 
 
+def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
+    """``input, reason, line, file`` of all rows that the last load rejected."""
+    columns = "reason string, line string, file string"
+    found = spark.createDataFrame([], f"input string, {columns}")
+    for name in TABLES:
+        path = f"{target.rstrip('/')}/quarantine/{name}"
+        if path_exists(spark, path):
+            rows = spark.read.schema(columns).parquet(path)
+            found = found.unionByName(rows.withColumn("input", F.lit(name)))
+    return found
+
+
 def read_ingested(spark: SparkSession, target: str, id_type: str = "int") -> DataFrame:
     """Receipts of an earlier load, maybe none; a filter on the store skips the others."""
     schema = f"transaction_date date, store_id int, customer_id {id_type}, products string"
