@@ -313,6 +313,28 @@ FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1, 2
 """,
     "csv_roundtrip": """
 SELECT transaction_date, store_id, customer_id, products FROM tx
+""",
+    "daily_visitors": """
+SELECT transaction_date AS date, count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos
+FROM tx GROUP BY 1
+""",
+    "weekly_visitors": """
+SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(weekofyear(transaction_date) AS INTEGER) AS week,
+  count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos
+FROM tx GROUP BY 1, 2
+""",
+    "monthly_visitors": """
+SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
+  count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos
+FROM tx GROUP BY 1, 2
+""",
+    "monthly_visitors_per_store": """
+SELECT store_id, CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
+  count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos
+FROM tx GROUP BY 1, 2, 3
+""",
+    "visitors_per_store": """
+SELECT store_id, count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos FROM tx GROUP BY 1
 """,
     "rejected_rows": """
 SELECT 'transactions' AS input, CASE (transaction_id // 10) % 5

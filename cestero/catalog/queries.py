@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cestero.catalog import tables
-from cestero.operators import baskets, customers, mining, products, quality, summary, temporal, vertical
+from cestero.operators import baskets, customers, mining, products, quality, summary, temporal, vertical, visitors
 from cestero.plans import job, summaries
 from cestero.sinks import mining as mining_files
 from cestero.sinks.delimited import write_delimited
 from cestero.sinks.reports import Reports, json_records
-from cestero.sinks.shared import passing_folder
+from cestero.sinks.shared import passing_folder, stage_table
 from cestero.sources import DelimitedSource, ingest
 from cestero.sources.incremental import load_changes, read_loaded
 from cestero.sources.ingest import read_ingested, read_quarantine
@@ -426,6 +426,37 @@ def temporal_summary(spark, sf_dir):
     return _contents(summaries.temporal_summary(receipts(spark, sf_dir)))
 
 
+def _daily_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of bitmaps per store, day and bucket, written once."""
+    tx = tables.transactions(spark, sf_dir, products=False)
+    return stage_table(visitors.daily_customers(tx, by=("store_id",)))
+
+
+@query
+def daily_visitors(spark, sf_dir):
+    return visitors.daily_visitors(_daily_customers(spark, sf_dir))
+
+
+@query
+def weekly_visitors(spark, sf_dir):
+    return visitors.weekly_visitors(_daily_customers(spark, sf_dir))
+
+
+@query
+def monthly_visitors(spark, sf_dir):
+    return visitors.monthly_visitors(_daily_customers(spark, sf_dir))
+
+
+@query
+def monthly_visitors_per_store(spark, sf_dir):
+    return visitors.monthly_visitors(_daily_customers(spark, sf_dir), by=("store_id",))
+
+
+@query
+def visitors_per_store(spark, sf_dir):
+    return visitors.customers_by(_daily_customers(spark, sf_dir), "store_id")
+
+
 # --- products and baskets ----------------------------------------------------
 
 
