@@ -64,6 +64,11 @@ rules AS (
   JOIN names na ON na.i = a.i WHERE w.freq / a.freq >= 0.3)
 """
 
+_STORE_GAPS = """
+  SELECT store_id, customer_id, date_diff('day', lag(transaction_date) OVER (
+    PARTITION BY store_id, customer_id ORDER BY transaction_date), transaction_date) AS days_between
+  FROM tx QUALIFY days_between IS NOT NULL"""
+
 STATEMENTS = {
     "available_stores": """
 SELECT DISTINCT store_id FROM tx
@@ -313,6 +318,65 @@ FROM tx WHERE len(string_split(trim(products), ' ')) >= 2 GROUP BY 1, 2
 """,
     "csv_roundtrip": """
 SELECT transaction_date, store_id, customer_id, products FROM tx
+""",
+    "purchase_gaps_per_store": """
+SELECT * FROM (
+  SELECT store_id, customer_id, prev_date, date, CAST(date_diff('day', prev_date, date) AS INTEGER) AS days_between
+  FROM (SELECT store_id, customer_id, transaction_date AS date,
+    lag(transaction_date) OVER (PARTITION BY store_id, customer_id ORDER BY transaction_date) AS prev_date FROM tx)
+) WHERE days_between IS NOT NULL
+""",
+    "time_between_purchases_per_store": f"""
+SELECT store_id, customer_id, avg(days_between) AS promedio_dias_entre_compras, min(days_between) AS min_dias,
+  max(days_between) AS max_dias, count(*) AS num_intervalos FROM ({_STORE_GAPS}) GROUP BY 1, 2
+""",
+    "frequency_tiers_per_store": f"""
+SELECT store_id, CASE WHEN d <= 7 THEN 'Muy Frecuente (≤7 días)' WHEN d <= 15 THEN 'Frecuente (8-15 días)'
+  WHEN d <= 30 THEN 'Regular (16-30 días)' WHEN d <= 60 THEN 'Ocasional (31-60 días)'
+  ELSE 'Esporádico (>60 días)' END AS categoria_frecuencia, count(*) AS num_clientes
+FROM (SELECT store_id, customer_id, avg(days_between) AS d FROM ({_STORE_GAPS}) GROUP BY 1, 2) GROUP BY 1, 2
+""",
+    "rfm_segmentation_per_store": """
+SELECT store_id, customer_id, frequency, recency, R_score, F_score,
+  CASE WHEN R_score >= 4 AND F_score >= 4 THEN 'Champions'
+       WHEN R_score >= 3 AND F_score >= 3 THEN 'Loyal Customers'
+       WHEN R_score >= 4 AND F_score <= 2 THEN 'Promising'
+       WHEN R_score <= 2 AND F_score >= 4 THEN 'At Risk'
+       WHEN R_score <= 2 AND F_score <= 2 THEN 'Lost'
+       WHEN R_score >= 3 AND F_score <= 2 THEN 'Potential Loyalists'
+       ELSE 'Regular' END AS RFM_segment
+FROM (
+  SELECT *, CAST(5 - ntile(4) OVER (PARTITION BY store_id ORDER BY recency, customer_id) AS INTEGER) AS R_score,
+    CAST(ntile(4) OVER (PARTITION BY store_id ORDER BY frequency DESC, customer_id) AS INTEGER) AS F_score
+  FROM (
+    SELECT store_id, customer_id, count(*) AS frequency, CAST(date_diff('day', max(transaction_date),
+      (max(max(transaction_date)) OVER (PARTITION BY store_id)) + 1) AS INTEGER) AS recency
+    FROM tx GROUP BY 1, 2))
+""",
+    "sales_trend_per_store": """
+SELECT store_id, date, n AS num_transacciones,
+  avg(n) OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7d
+FROM (SELECT store_id, transaction_date AS date, count(*) AS n FROM tx GROUP BY 1, 2)
+""",
+    "sales_trend_per_product": """
+SELECT store_id, product_id, date, n AS num_transacciones, avg(n) OVER (
+    PARTITION BY store_id, product_id ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7d
+FROM (SELECT store_id, product_id, transaction_date AS date, count(*) AS n FROM ex GROUP BY 1, 2, 3)
+""",
+    "trend_change_per_store": """
+SELECT store_id, f AS first_week_avg, l AS last_week_avg, round((l - f) / f * 100, 6) AS trend_change,
+  CASE WHEN (l - f) / f * 100 > 5 THEN 'CRECIENTE' WHEN (l - f) / f * 100 < -5 THEN 'DECRECIENTE'
+       ELSE 'ESTABLE' END AS trend
+FROM (
+  SELECT store_id, avg(n) FILTER (a <= 7) AS f, avg(n) FILTER (z <= 7) AS l
+  FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY date) AS a,
+               row_number() OVER (PARTITION BY store_id ORDER BY date DESC) AS z
+        FROM (SELECT store_id, transaction_date AS date, count(*) AS n FROM tx GROUP BY 1, 2))
+  GROUP BY 1)
+""",
+    "order_value_deciles": """
+SELECT o_orderkey, o_totalprice, CAST(ntile(10) OVER (ORDER BY o_totalprice, o_orderkey) AS INTEGER) AS decile
+FROM orders
 """,
     "daily_visitors": """
 SELECT transaction_date AS date, count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos

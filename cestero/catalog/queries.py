@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cestero.catalog import tables
-from cestero.operators import baskets, customers, mining, products, quality, summary, temporal, vertical, visitors
+from cestero.operators import (
+    baskets,
+    customers,
+    mining,
+    products,
+    quality,
+    ranking,
+    summary,
+    temporal,
+    vertical,
+    visitors,
+)
 from cestero.plans import job, summaries
 from cestero.sinks import mining as mining_files
 from cestero.sinks.delimited import write_delimited
@@ -363,6 +374,14 @@ def _contents(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, listed)
 
 
+@query
+def order_value_deciles(spark, sf_dir):
+    """Deciles of a double that hardly two orders share."""
+    orders = tables.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    value = {"decile": ranking.float_ordinal(F.col("o_totalprice"))}
+    return ranking.exact_ntiles(orders, value, "o_orderkey", tiles=10, wide=True)
+
+
 # --- sales over time ---------------------------------------------------------
 
 
@@ -540,6 +559,42 @@ def purchase_frequency_per_store(spark, sf_dir):
     return customers.purchase_frequency(receipts_of_stores(spark, sf_dir), by=STORE)
 
 
+@query
+def purchase_gaps_per_store(spark, sf_dir):
+    return customers.purchase_gaps(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def time_between_purchases_per_store(spark, sf_dir):
+    return customers.time_between_purchases(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def frequency_tiers_per_store(spark, sf_dir):
+    return customers.frequency_tiers(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def rfm_segmentation_per_store(spark, sf_dir):
+    return customers.rfm_segmentation(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def sales_trend_per_store(spark, sf_dir):
+    return temporal.sales_trend(receipts_of_stores(spark, sf_dir), by=STORE)
+
+
+@query
+def sales_trend_per_product(spark, sf_dir):
+    """Units per store, product and day."""
+    return temporal.sales_trend(exploded(spark, sf_dir, store=True), by=("store_id", "product_id"))
+
+
+@query
+def trend_change_per_store(spark, sf_dir):
+    return rounded(temporal.trend_change(receipts_of_stores(spark, sf_dir), by=STORE), "trend_change")
+
+
 @query
 def basket_stats_per_store(spark, sf_dir):
     stats = baskets.basket_stats(tables.transactions(spark, sf_dir), by=STORE)

@@ -50,48 +50,55 @@ def purchase_frequency_histogram(tx: DataFrame) -> DataFrame:
     )
 
 
-def _purchase_days(tx: DataFrame, date_column: str) -> DataFrame:
-    """Days on which a customer bought, how often, and the day before that.
+def purchase_days(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
+    """``*by, customer_id, date, n``: a customer's receipts on each day.
 
-    Counting per customer and day comes first, so the window sees at most one
-    row per calendar day of a customer, however many receipts there are.
+    However many receipts a customer has, that is one row per calendar day;
+    unreadable dates share the NULL day. Stored by customer (``sources.buckets``),
+    it serves what is below without another shuffle.
     """
-    by_date = Window.partitionBy("customer_id").orderBy("date")
     return (
-        tx.select("customer_id", day(date_column).alias("date"))
-        .where(F.col("date").isNotNull())
-        .groupBy("customer_id", "date")
+        tx.select(*by, "customer_id", day(date_column).alias("date"))
+        .groupBy(*by, "customer_id", "date")
         .agg(F.count("*").alias("n"))
-        .withColumn("prev_date", F.lag("date").over(by_date))
     )
 
 
-def purchase_gaps(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
-    """One row per purchase after a customer's first, with the days waited.
+def _with_previous(days: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Days on which a customer bought, and the day before that."""
+    by_date = Window.partitionBy(*by, "customer_id").orderBy("date")
+    return days.where(F.col("date").isNotNull()).withColumn("prev_date", F.lag("date").over(by_date))
 
-    Purchases on one day are 0 days apart. Those rows are written out from
-    their number, which a day of very many receipts spreads over several tasks.
+
+def gaps_between(days: DataFrame, by: Sequence[str] = (), spread_repeats: bool = True) -> DataFrame:
+    """``purchase_gaps`` from ``purchase_days``.
+
+    ``spread_repeats`` deals the repeats of one day to several tasks, in blocks;
+    without it they are written where they are found and nothing is shuffled.
     """
-    days = _purchase_days(tx, date_column)
+    seen = _with_previous(days, by)
     # Naming n keeps the count in this branch too, so both read one exchange.
-    between = days.where("prev_date IS NOT NULL AND n > 0").select(
-        "customer_id", "prev_date", "date", F.date_diff("date", "prev_date").alias("days_between")
+    between = seen.where("prev_date IS NOT NULL AND n > 0").select(
+        *by,
+        "customer_id",
+        "prev_date",
+        "date",
+        F.date_diff("date", "prev_date").alias("days_between"),
     )
     size = _REPEATS_PER_TASK_ROW
-    partitions = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
-        days.where("n > 1")
-        .selectExpr("customer_id", "date", "n - 1 AS repeats")
-        .selectExpr(
-            "customer_id",
-            "date",
-            "repeats",
-            f"explode(sequence(0, (repeats - 1) div {size})) AS block",
-        )
-        .selectExpr("customer_id", "date", "block", f"least({size}, repeats - block * {size}) AS m")
-        .repartition(partitions, "customer_id", "date", "block")
+        seen.where("n > 1")
+        .select(*by, "customer_id", "date", (F.col("n") - 1).alias("repeats"))
+        .select("*", F.expr(f"explode(sequence(0, (repeats - 1) div {size}))").alias("block"))
+        .withColumn("m", F.expr(f"least({size}, repeats - block * {size})"))
     )
+    if spread_repeats:
+        partitions = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = blocks.repartition(partitions, *by, "customer_id", "date", "block")
     same_day = blocks.select(
+        *by,
         "customer_id",
         F.col("date").alias("prev_date"),
         "date",
@@ -100,18 +107,23 @@ def purchase_gaps(tx: DataFrame, date_column: str = "transaction_date") -> DataF
     return between.unionByName(same_day)
 
 
-def time_between_purchases(
-    tx: DataFrame, date_column: str = "transaction_date", ordered: bool = False
+def purchase_gaps(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean, least and greatest gap of every customer with two purchases or more.
+    """One row per purchase after a customer's first (per ``by``), with the days waited.
 
-    The gaps of a customer add up to the days from first to last purchase, so
-    the mean needs no row per gap.
+    Purchases on one day are 0 days apart. Those rows are written out from
+    their number, which a day of very many receipts spreads over several tasks.
     """
+    return gaps_between(purchase_days(tx, date_column, by), by)
+
+
+def intervals_of(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``time_between_purchases`` from ``purchase_days``."""
     gap = F.date_diff("date", "prev_date")
-    out = (
-        _purchase_days(tx, date_column)
-        .groupBy("customer_id")
+    return (
+        _with_previous(days, by)
+        .groupBy(*by, "customer_id")
         .agg(
             (F.sum("n") - 1).alias("num_intervalos"),
             F.date_diff(F.max("date"), F.min("date")).alias("total_days"),
@@ -121,6 +133,7 @@ def time_between_purchases(
         )
         .where("num_intervalos > 0")
         .select(
+            *by,
             "customer_id",
             (F.col("total_days") / F.col("num_intervalos")).alias("promedio_dias_entre_compras"),
             F.when(F.col("most_per_day") > 1, 0).otherwise(F.col("min_gap")).alias("min_dias"),
@@ -128,7 +141,21 @@ def time_between_purchases(
             "num_intervalos",
         )
     )
-    return out.orderBy("promedio_dias_entre_compras", "customer_id") if ordered else out
+
+
+def time_between_purchases(
+    tx: DataFrame,
+    date_column: str = "transaction_date",
+    ordered: bool = False,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Mean, least and greatest gap of every customer with two purchases or more.
+
+    The gaps of a customer add up to the days from first to last purchase, so
+    the mean needs no row per gap.
+    """
+    out = intervals_of(purchase_days(tx, date_column, by), by)
+    return out.orderBy("promedio_dias_entre_compras", *by, "customer_id") if ordered else out
 
 
 def time_between_stats(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
@@ -142,46 +169,63 @@ def time_between_stats(tx: DataFrame, date_column: str = "transaction_date") ->
     )
 
 
-def frequency_tiers(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
+def frequency_tiers(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
+    """Customers per tier of their mean gap, and per ``by``."""
     tier = interval_tier(F.col("promedio_dias_entre_compras"))
     return (
-        time_between_purchases(tx, date_column)
-        .groupBy(tier.alias("categoria_frecuencia"))
+        time_between_purchases(tx, date_column, by=by)
+        .groupBy(*by, tier.alias("categoria_frecuencia"))
         .agg(F.count("*").alias("num_clientes"))
-        .orderBy(F.desc("num_clientes"), "categoria_frecuencia")
+        .orderBy(*by, F.desc("num_clientes"), "categoria_frecuencia")
     )
 
 
-def rfm_segmentation(
-    tx: DataFrame,
+def frequency_of(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``purchase_frequency`` from ``purchase_days``."""
+    return days.groupBy(*by, "customer_id").agg(
+        F.sum("n").alias("num_compras"),
+        F.min("date").alias("primera_compra"),
+        F.max("date").alias("ultima_compra"),
+    )
+
+
+def rfm_of(
+    frequencies: DataFrame,
     reference_date: str | date | None = None,
     invert_frequency: bool = False,
-    date_column: str = "transaction_date",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Recency and frequency quartiles of the customers, and their segment.
-
-    ``R_score`` is 4 for the most recent quarter. ``F_score`` is 1 for the most
-    frequent one, as in the reports this reproduces; ``invert_frequency`` makes
-    that 4, which the segment names suggest. Ties go by customer id. Without a
-    ``reference_date`` recency counts up to the day after the last purchase.
-    """
+    """``rfm_segmentation`` from ``frequency_of`` days."""
     customers = (
-        tx.select("customer_id", day(date_column).alias("date"))
-        .groupBy("customer_id")
-        .agg(F.count("*").alias("frequency"), F.max("date").alias("last"))
+        frequencies.select(
+            *by,
+            "customer_id",
+            F.col("num_compras").alias("frequency"),
+            F.col("ultima_compra").alias("last"),
+        )
         # The steps below all read this exchange, with one row per customer,
         # and not the larger one under the aggregate. Its key takes in every
         # column, or pruning would make a different exchange for each step.
-        .repartition("customer_id", "frequency", "last")
+        .repartition(*by, "customer_id", "frequency", "last")
     )
-    if reference_date is None:
-        until = customers.agg(F.date_add(F.max("last"), 1)).scalar()
-    else:
-        until = F.lit(str(reference_date)).cast("date")
     # The order of recency is that of the last day, reversed.
     order = {"by_recency": -F.unix_date("last"), "by_frequency": -F.col("frequency")}
+    scored = exact_ntiles(customers, order, "customer_id", groups=by)
+    if reference_date is not None:
+        until = F.lit(str(reference_date)).cast("date")
+    elif by:
+        last = customers.groupBy(F.struct(*by).alias("of")).agg(
+            F.date_add(F.max("last"), 1).alias("until")
+        )
+        scored = scored.join(last, F.struct(*by) == F.col("of"))
+        until = F.col("until")
+    else:
+        until = customers.agg(F.date_add(F.max("last"), 1)).scalar()
     by_frequency = F.col("by_frequency")
-    scored = exact_ntiles(customers, order, "customer_id").select(
+    scored = scored.select(
+        *by,
         "customer_id",
         "frequency",
         F.date_diff(until, "last").alias("recency"),
@@ -191,6 +235,25 @@ def rfm_segmentation(
     return scored.withColumn("RFM_segment", rfm_segment(F.col("R_score"), F.col("F_score")))
 
 
+def rfm_segmentation(
+    tx: DataFrame,
+    reference_date: str | date | None = None,
+    invert_frequency: bool = False,
+    date_column: str = "transaction_date",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Recency and frequency quartiles of the customers, and their segment.
+
+    ``R_score`` is 4 for the most recent quarter. ``F_score`` is 1 for the most
+    frequent one, as in the reports this reproduces; ``invert_frequency`` makes
+    that 4, which the segment names suggest. Ties go by customer id. Without a
+    ``reference_date`` recency counts up to the day after the last purchase. With
+    ``by`` all of this holds for each store, say, by itself.
+    """
+    dated = tx.select(*by, "customer_id", day(date_column).alias("transaction_date"))
+    return rfm_of(purchase_frequency(dated, by=by), reference_date, invert_frequency, by)
+
+
 def rfm_segment_profile(rfm: DataFrame) -> DataFrame:
     return (
         rfm.groupBy("RFM_segment")

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from cestero.functions import day, spread, trend_label
 
+#: Rows of one group in a block of a moving average.
+_BLOCK = 512
+
 
 def per_day(
     tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
@@ -146,31 +149,95 @@ def day_of_week_extremes(tx: DataFrame, date_column: str = "transaction_date") -
     )
 
 
-def sales_trend(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
-    """Receipts per day with the mean of the day and the six rows before it.
+def numbered_days(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``daily`` with each row's ``number`` from 0 on, per ``by`` in the order of days, and
+    the ``total`` of them; the NULL day comes first.
 
-    The window has one partition; it holds one row per calendar day.
+    Rows are ranked within a calendar year. What earlier years have is added from
+    one list of years per ``by``, so that no task sorts more than a year of one.
     """
-    last_seven = Window.orderBy("date").rowsBetween(-6, Window.currentRow)
+    year = F.coalesce(F.year("date"), F.lit(-(2**31))).alias("year")
+    keys = F.struct(*by, "year") if by else F.struct("year")
+    in_year = Window.partitionBy(*by, "year").orderBy("date")
+    ranked = daily.select("*", year).withColumn("rank", F.row_number().over(in_year) - 1)
+    sizes = ranked.groupBy(*by, "year").agg(F.count("*").alias("n"))
+    listed = sizes.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("year", "n"))).alias("years"))
+
+    def sum_of(years):
+        return F.aggregate(years, F.lit(0).cast("bigint"), lambda found, y: found + y["n"])
+
+    starts = listed.select(
+        *by, "years", sum_of(F.col("years")).alias("total"), F.posexplode("years").alias("at", "y")
+    ).select(
+        *by,
+        F.col("y.year").alias("year"),
+        sum_of(F.slice("years", F.lit(1), F.col("at"))).alias("start"),
+        "total",
+    )
+    starts = starts.select(keys.alias("of"), "start", "total")
+    # In a struct, NULL is equal to NULL.
+    return ranked.join(starts, keys == F.col("of")).select(
+        *daily.columns, (F.col("start") + F.col("rank")).alias("number"), "total"
+    )
+
+
+def moving_average(
+    daily: DataFrame, by: Sequence[str], rows: int = 7, measure: str = "num_transacciones"
+) -> DataFrame:
+    """Mean of ``measure`` over each day and the rows before it, ``rows`` in all, per ``by``.
+
+    Numbered rows are cut into blocks, and a block's last rows are handed to the
+    next one, where they are counted in and then left out. A block is a task's
+    largest sort, however many rows a group has.
+    """
+    block = F.expr(f"number div {_BLOCK}")
+    handed = F.col("number") % _BLOCK > _BLOCK - rows
+    blocks = F.explode(F.when(handed, F.array(block, block + 1)).otherwise(F.array(block)))
+    window = Window.partitionBy(*by, "block").orderBy("number").rowsBetween(1 - rows, 0)
     return (
-        per_day(tx, date_column)
-        .withColumn("moving_avg_7d", F.avg("num_transacciones").over(last_seven))
-        .orderBy("date")
+        numbered_days(daily, by)
+        .select("*", blocks.alias("block"))
+        .withColumn(f"moving_avg_{rows}d", F.avg(measure).over(window))
+        .where(F.col("block") == block)
+        .select(*daily.columns, f"moving_avg_{rows}d")
     )
 
 
-def trend_change(tx: DataFrame, date_column: str = "transaction_date") -> DataFrame:
-    """Mean of the first and of the last seven days sold, and their change."""
+def sales_trend(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
+    """Receipts per day with the mean of the day and the six rows before it.
+
+    Without ``by`` the window has one partition; it holds one row per calendar day.
+    With it, the result comes unsorted.
+    """
+    daily = per_day(tx, date_column, by)
+    if by:
+        return moving_average(daily, by)
+    last_seven = Window.orderBy("date").rowsBetween(-6, Window.currentRow)
+    return daily.withColumn(
+        "moving_avg_7d", F.avg("num_transacciones").over(last_seven)
+    ).orderBy("date")
+
+
+def trend_change(
+    tx: DataFrame, date_column: str = "transaction_date", by: Sequence[str] = ()
+) -> DataFrame:
+    """Mean of the first and of the last seven days sold, and their change, per ``by``."""
     n = F.col("num_transacciones")
-    from_start = F.row_number().over(Window.orderBy(F.asc_nulls_first("date")))
-    from_end = F.row_number().over(Window.orderBy(F.desc_nulls_last("date")))
-    weeks = (
-        per_day(tx, date_column)
-        .select(n, from_start.alias("from_start"), from_end.alias("from_end"))
-        .agg(
-            F.avg(F.when(F.col("from_start") <= 7, n)).alias("first_week_avg"),
-            F.avg(F.when(F.col("from_end") <= 7, n)).alias("last_week_avg"),
-        )
+    daily = per_day(tx, date_column, by)
+    if by:
+        numbered = numbered_days(daily, by)
+        first, last = F.col("number") < 7, F.col("number") >= F.col("total") - 7
+    else:
+        # One row per calendar day, and one task for them.
+        ends = {"start": F.asc_nulls_first("date"), "end": F.desc_nulls_last("date")}
+        ranks = {f"from_{k}": F.row_number().over(Window.orderBy(o)) for k, o in ends.items()}
+        numbered = daily.select(n, *(rank.alias(name) for name, rank in ranks.items()))
+        first, last = F.col("from_start") <= 7, F.col("from_end") <= 7
+    weeks = numbered.groupBy(*by).agg(
+        F.avg(F.when(first, n)).alias("first_week_avg"),
+        F.avg(F.when(last, n)).alias("last_week_avg"),
     )
     first, last = F.col("first_week_avg"), F.col("last_week_avg")
     return weeks.withColumn("trend_change", (last - first) / first * 100).withColumn(
