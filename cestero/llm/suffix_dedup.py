@@ -27,7 +27,7 @@ on the identifiers themselves, which combines before it shuffles.
 Identifiers have 64 bits, and two of them have to agree. A null text is the
 empty one. Texts under ``SPAN`` bytes keep all. A null id comes after all
 others; rows of equal id but different text are ordered by a digest of the text,
-120 bits of its MD5; rows alike in id and text are one document, and each gets
+88 bits of its MD5; rows alike in id and text are one document, and each gets
 that document's result.
 """
 
@@ -104,7 +104,8 @@ def anchors(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
         yield at, buckets, around
 
 
-_ANCHOR = "route long, q long, c long, doc long, ta long, tb long, at long"
+#: ``at`` is the place of an anchor, above it the second part of the document's digest.
+_ANCHOR = "route long, q long, c long, doc long, ta long, at long"
 
 
 def _locally_settled(q, c, own, at, docs: list[tuple[int, int, int]]) -> pa.RecordBatch:
@@ -130,21 +131,23 @@ def _locally_settled(q, c, own, at, docs: list[tuple[int, int, int]]) -> pa.Reco
     dealt = crowded | ~first
     salt = np.where(first, c, at).view(np.uint64) * _FACTORS[0]
     route[dealt] = mixed(salt + q.view(np.uint64)).view(np.int64)[dealt]
+    docs_, ta, tb = np.array(keys, np.int64).reshape(-1, 3).T
+    at = tb[doc] << 32 | at
     at = np.where(first, at, -1 - at)
     keep = ~again
     marks = new_q & crowded
-    table = np.array(keys, np.int64).reshape(-1, 3)
     columns = [
         np.concatenate((x[keep], y))
         for x, y in (
             (route, q[marks]),
             (q, q[marks]),
             (c, ~c[marks]),
-            *((column[doc], column[doc[marks]]) for column in table.T),
+            (docs_[doc], docs_[doc[marks]]),
+            (ta[doc], ta[doc[marks]]),
             (at, np.full(marks.sum(), _MARK)),
         )
     ]
-    names = ["route", "q", "c", "doc", "ta", "tb", "at"]
+    names = ["route", "q", "c", "doc", "ta", "at"]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
 
@@ -182,21 +185,22 @@ def _settled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     pending = None  # (q, row of its only surroundings so far or None if there are several)
     last = None  # the row before
     for batch in batches:
-        route, q, c, doc, ta, tb, at = (batch.column(k).to_numpy() for k in range(7))
-        done = at < 0
-        parts = [(doc[done], ta[done], tb[done], -1 - at[done], q[done], np.ones(done.sum(), bool))]
-        rows = [x[~done] for x in (route, q, c, doc, ta, tb, at)]
-        route, q, c, doc, ta, tb, at = rows
+        rows = [batch.column(k).to_numpy() for k in range(6)]
+        done = rows[-1] < 0
+        _, q, _, doc, ta, at = (x[done] for x in rows)
+        parts = [(doc, ta, -1 - at, q, np.ones(len(q), bool))]
+        rows = [x[~done] for x in rows]
+        route, q, c, doc, ta, at = rows
         if len(q):
             before = last or (0,) * len(rows)
             same = [x == np.concatenate(([v], x[:-1])) for v, x in zip(before, rows)]
             new_q = ~(same[0] & same[1])
             new_q[0] |= last is None
             first = new_q | ~same[2]
-            again = ~first & same[3] & same[4] & same[5] & same[6]
+            again = ~first & same[3] & same[4] & same[5]
             last = tuple(int(x[-1]) for x in rows)
             rest = ~first & ~again & (at != _MARK)
-            own = (doc, ta, tb, at, q)
+            own = (doc, ta, at, q)
             parts.append((*(x[rest] for x in own), np.ones(rest.sum(), bool)))
             bucket = np.cumsum(new_q)  # 0: goes on from the batch before
             size = np.bincount(bucket, first, minlength=bucket[-1] + 1)
@@ -217,9 +221,10 @@ def _settled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     kept = np.array([at[k[0]] != _MARK])
                     row = (*(x[k][kept] for x in own), np.zeros(kept.sum(), bool))
                 pending = (int(q[-1]), row)
-        columns = [np.concatenate(x) for x in zip(*parts)]
+        doc, ta, at, q, settled = (np.concatenate(x) for x in zip(*parts))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in columns], ["doc", "ta", "tb", "pos", "q", "settled"]
+            [pa.array(x) for x in (doc, ta, at >> 32, at & 0xFFFFFFFF, q, settled)],
+            ["doc", "ta", "tb", "pos", "q", "settled"],
         )
 
 
@@ -338,12 +343,14 @@ _NAMES = ("doc", "ta", "tb")
 def keyed(documents: DataFrame) -> DataFrame:
     """Each of ``documents`` as a ``row``, with a text that is never null and the key.
 
-    Packed up, its columns cannot clash with those this module works with. The digest is cut into two numbers of 60 bits; above them, in the first, is
-    whether there is no id, which no id is equal to.
+    Packed up, its other columns cannot clash with those this module works with. The
+    digest is cut into two numbers, of 60 and 28 bits; above the first one's is
+    whether there is no id, which no id is equal to. The same rows, columns and
+    all, go into each join with them, so that texts are shuffled once.
     """
     text = F.coalesce("text", F.lit(""))
     digest = F.md5(text.cast("binary"))
-    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long") for at in (1, 16)]
+    halves = [F.conv(F.substring(digest, at, n), 16, 10).cast("long") for at, n in ((1, 15), (16, 7))]
     absent = F.col("doc_id").isNull().cast("long")
     key = (
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)),
@@ -351,7 +358,8 @@ def keyed(documents: DataFrame) -> DataFrame:
         halves[1],
     )
     columns = (k.alias(name) for k, name in zip(key, _KEY))
-    return documents.select(F.struct(*documents.columns).alias("row"), text.alias("text"), *columns)
+    others = F.struct(F.lit(0).alias("_"), *(c for c in documents.columns if c != "text"))
+    return documents.select(others.alias("row"), text.alias("text"), *columns)
 
 
 def _renamed(rows: DataFrame) -> DataFrame:
@@ -366,7 +374,7 @@ def repeated_stretches(documents: DataFrame, crowd: int = CROWD) -> tuple[DataFr
         source.select(*key, F.col("text").cast("binary").alias("text"))
         .mapInArrow(_anchor_rows, _ANCHOR)
         .repartition("route")
-        .sortWithinPartitions("route", "q", "c", *_NAMES, "at")
+        .sortWithinPartitions("route", "q", "c", "doc", "ta", "at")
     )
     schema = "doc long, ta long, tb long, pos long, q long, settled boolean"
     found = staged(sorted_anchors.mapInArrow(_settled_rows, schema))
