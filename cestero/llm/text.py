@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,15 +81,26 @@ def kept_by(owner: str) -> dict:
     """What an operator, the ``owner``, keeps in a worker process, which outlives a task.
 
     What another one has left there is let go first, also if this one keeps nothing.
+    Called once a task, as it also hands back what earlier tasks have freed.
     """
     kept = sys.__dict__.setdefault("_cestero_kept", {})
     if kept.keys() - {owner}:
         kept.clear()
+    _hand_back()
     return kept.setdefault(owner, {})
 
 
+def _hand_back() -> None:
+    """Return freed memory to the system, which allocators otherwise keep for the worker."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def of_worker(owner: str, name: str, make):
-    """``make()`` once for a worker process."""
+    """``make()`` once for a worker process; asked for once a task."""
     own = kept_by(owner)
     if name not in own:
         own[name] = make()
