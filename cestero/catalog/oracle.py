@@ -415,6 +415,10 @@ SELECT transaction_date, store_id, customer_id, products, 0 AS reloaded FROM tx
 SAME_ROWS = {
     "ingest_roundtrip": "csv_roundtrip",
     "accepted_rows": "csv_roundtrip",
+    "purchase_gaps_bucketed": "purchase_gaps",
+    "time_between_purchases_bucketed": "time_between_purchases",
+    "purchase_frequency_bucketed": "purchase_frequency",
+    "rfm_segmentation_bucketed": "rfm_segmentation",
     "executive_summary_job": "executive_summary",
     "rules_roundtrip": "association_rules",
     "rules_csv_roundtrip": "association_rules",
@@ -478,6 +482,15 @@ STORE_SECTIONS = {
         "purchase_frequency_per_store",
         "store_id customer_id num_compras primera_compra ultima_compra",
     ),
+    "trends_per_store": ("sales_trend_per_store", "store_id date num_transacciones moving_avg_7d~"),
+    "time_between_per_store": (
+        "time_between_purchases_per_store",
+        "store_id customer_id promedio_dias_entre_compras~ min_dias max_dias num_intervalos",
+    ),
+    "rfm_per_store": (
+        "rfm_segmentation_per_store",
+        "store_id customer_id frequency recency R_score F_score RFM_segment",
+    ),
     "basket_stats_per_store": (
         "basket_stats_per_store",
         "store_id num_transacciones avg_basket_size~ min_basket_size max_basket_size",

@@ -25,8 +25,9 @@ from cestero.plans import job, summaries
 from cestero.sinks import mining as mining_files
 from cestero.sinks.delimited import write_delimited
 from cestero.sinks.reports import Reports, json_records
-from cestero.sinks.shared import passing_folder, stage_table
+from cestero.sinks.shared import passing_folder, passing_table, stage_table
 from cestero.sources import DelimitedSource, ingest
+from cestero.sources.buckets import read_customer_days, write_customer_days
 from cestero.sources.incremental import load_changes, read_loaded
 from cestero.sources.ingest import read_ingested, read_quarantine
 
@@ -374,6 +375,33 @@ def _contents(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, listed)
 
 
+def _bucketed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase days of all receipts, loaded into a table bucketed by customer."""
+    table, path = passing_table(spark)
+    write_customer_days(receipts(spark, sf_dir), table, path, buckets=8)
+    return read_customer_days(spark, table)
+
+
+@query
+def purchase_gaps_bucketed(spark, sf_dir):
+    return customers.gaps_between(_bucketed_days(spark, sf_dir), spread_repeats=False)
+
+
+@query
+def time_between_purchases_bucketed(spark, sf_dir):
+    return customers.intervals_of(_bucketed_days(spark, sf_dir))
+
+
+@query
+def purchase_frequency_bucketed(spark, sf_dir):
+    return customers.frequency_of(_bucketed_days(spark, sf_dir))
+
+
+@query
+def rfm_segmentation_bucketed(spark, sf_dir):
+    return customers.rfm_of(customers.frequency_of(_bucketed_days(spark, sf_dir)))
+
+
 @query
 def order_value_deciles(spark, sf_dir):
     """Deciles of a double that hardly two orders share."""

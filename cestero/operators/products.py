@@ -9,6 +9,11 @@ from cestero.functions import spread
 from cestero.operators.summary import count_by
 
 
+def store_product_sales(ex: DataFrame) -> DataFrame:
+    """Units per store and product, from which the rankings below can be made."""
+    return ex.groupBy("store_id", "product_id").agg(F.count("*").alias("num_ventas"))
+
+
 def product_sales(ex: DataFrame, ordered: bool = False) -> DataFrame:
     """Units per product, all products. ``ordered`` sorts the best seller first."""
     out = count_by(ex, "product_id", "num_ventas")
@@ -31,13 +36,16 @@ def top_products_per_store(ex: DataFrame, n: int = 10) -> DataFrame:
     Spark cuts to n rows per store in every task before the shuffle on the
     store, so one store with most of the sales stays cheap.
     """
+    return best_per_store(store_product_sales(ex), n)
+
+
+def best_per_store(sales: DataFrame, n: int = 10) -> DataFrame:
+    """``top_products_per_store`` from ``store_product_sales``."""
     best_first = Window.partitionBy("store_id").orderBy(
         F.desc("num_ventas"), F.asc_nulls_first("product_id")
     )
     return (
-        ex.groupBy("store_id", "product_id")
-        .agg(F.count("*").alias("num_ventas"))
-        .withColumn("rank", F.row_number().over(best_first))
+        sales.withColumn("rank", F.row_number().over(best_first))
         .where(F.col("rank") <= n)
         .orderBy("store_id", "rank")
     )

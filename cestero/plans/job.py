@@ -13,12 +13,14 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cestero.operators.baskets import explode_transactions, require_stores
 from cestero.operators.mining import MIN_CONFIDENCE, MIN_SUPPORT
+from cestero.operators.products import store_product_sales
 from cestero.operators.quality import in_hash_order, sample_transactions
 from cestero.operators.summary import basic_metrics
 from cestero.operators.temporal import daily_sales
@@ -43,6 +45,9 @@ RANKINGS = {
     "categories": "top_categories",
 }
 
+#: Reports that are written at a time; each leaves most of a cluster idle at its end.
+WRITERS = 4
+
 # Fixed value: receipts in a sample.
 SAMPLE_SIZE = 5000
 
@@ -135,14 +140,20 @@ def analytics_frames(
     mining_input: DataFrame | None = None,
     stage: Callable[[DataFrame], DataFrame] = stage_table,
 ) -> dict[str, DataFrame]:
-    """All frames of the temporal, customer and product summaries and per store."""
+    """All frames of the temporal, customer and product summaries and per store.
+
+    Receipts are taken apart into products once, for the units per store and
+    product; the best sellers of the stores, which two summaries have, are ranked once.
+    """
+    sales = stage(store_product_sales(exploded))
     found = {**temporal_summary(tx), **customer_summary(tx)}
     found |= product_summary(
-        tx, exploded, True, min_support, min_confidence, mining_input, stage
+        tx, exploded, True, min_support, min_confidence, mining_input, stage, sales
     )
     mined = found.pop("market_basket")
     found |= {name: mined[name] for name in ("frequent_itemsets", "association_rules")}
-    return found | store_summaries(tx, exploded)
+    found["store_products"] = stage(found["store_products"])
+    return found | store_summaries(tx, found["store_products"])
 
 
 def run_analytics(
@@ -152,7 +163,10 @@ def run_analytics(
     min_confidence: float = MIN_CONFIDENCE,
     mining_input: DataFrame | None = None,
 ) -> list[str]:
-    """Every frame as a series below ``analytics``; returns their names."""
+    """Every frame as a series below ``analytics``; returns their names.
+
+    The reports do not depend on each other, so a few are written at a time.
+    """
     with staging(source.spark) as stage:
         # Parsed once; each frame reads the columns it needs.
         tx = stage(source.transactions())
@@ -160,8 +174,13 @@ def run_analytics(
         exploded = explode_transactions(tx, id_type=source.id_type)
         frames = analytics_frames(tx, exploded, min_support, min_confidence, mining_input, stage)
         reports = Reports(output)
-        for name, frame in frames.items():
-            reports.time_series(frame, name, frame.columns[0], frame.columns[-1])
+
+        def write(name: str) -> None:
+            columns = frames[name].columns
+            reports.time_series(frames[name], name, columns[0], columns[-1])
+
+        with ThreadPoolExecutor(WRITERS) as writers:
+            list(writers.map(write, frames))
         info = {"min_support": min_support, "min_confidence": min_confidence, "status": "success"}
         reports.run_metadata(source.spark, *ANALYTICS_RUN, info)
     return list(frames)
@@ -173,7 +192,7 @@ def analytics_schemas(tx: DataFrame, exploded: DataFrame) -> dict[str, StructTyp
     found = {**temporal_summary(tx), **customer_summary(tx)}
     found |= product_summary(tx, exploded, run_market_basket=False)
     del found["market_basket"]
-    found |= store_summaries(tx, exploded)
+    found |= store_summaries(tx, found["store_products"])
     return {name: frame.schema for name, frame in found.items()} | {
         "frequent_itemsets": StructType.fromDDL("items array<string>, freq bigint"),
         "association_rules": StructType.fromDDL(

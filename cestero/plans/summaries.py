@@ -199,15 +199,22 @@ def product_summary(
     min_confidence: float = mining.MIN_CONFIDENCE,
     mining_input: DataFrame | None = None,
     stage: Callable[[DataFrame], DataFrame] = stage_table,
+    sales: DataFrame | None = None,
 ) -> dict[str, object]:
     """Product frames; a failing search for patterns is raised, not hidden.
 
-    Patterns are sought in the baskets of ``tx``, or in ``mining_input``.
+    Patterns are sought in the baskets of ``tx``, or in ``mining_input``. ``sales`` are
+    the units per store and product if they are at hand; ``exploded`` is not read then.
     """
     searched = tx if mining_input is None else mining_input
+    if sales is None:
+        best, units = products.top_products_per_store(exploded), products.product_sales(exploded)
+    else:
+        best = products.best_per_store(sales)
+        units = sales.groupBy("product_id").agg(F.sum("num_ventas").alias("num_ventas"))
     return {
-        "top_products": products.product_sales(exploded),
-        "store_products": products.top_products_per_store(exploded),
+        "top_products": units,
+        "store_products": best,
         "combinations": baskets.product_combinations(tx),
         "market_basket": (
             market_basket(searched, min_support, min_confidence, stage=stage)
@@ -217,8 +224,8 @@ def product_summary(
     }
 
 
-def store_summaries(tx: DataFrame, exploded: DataFrame) -> dict[str, DataFrame]:
-    """What the other summaries hold, for each store by itself."""
+def store_summaries(tx: DataFrame, best: DataFrame) -> dict[str, DataFrame]:
+    """What the other summaries hold, for each store by itself; ``best`` are its best sellers."""
     by = ("store_id",)
     return {
         "store_summary": quality.store_summary(tx),
@@ -226,8 +233,11 @@ def store_summaries(tx: DataFrame, exploded: DataFrame) -> dict[str, DataFrame]:
         "weekly_per_store": temporal.weekly_sales(tx, by=by),
         "monthly_per_store": temporal.monthly_sales(tx, by=by),
         "day_of_week_per_store": temporal.day_of_week_sales(tx, by=by),
+        "trends_per_store": temporal.sales_trend(tx, by=by),
         "frequency_per_store": customers.purchase_frequency(tx, by=by),
+        "time_between_per_store": customers.time_between_purchases(tx, by=by),
+        "rfm_per_store": customers.rfm_segmentation(tx, by=by),
         "basket_stats_per_store": baskets.basket_stats(tx, by=by),
         "combinations_per_store": baskets.product_combinations(tx, by=by),
-        "products_per_store": products.top_products_per_store(exploded),
+        "products_per_store": best,
     }

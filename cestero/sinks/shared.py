@@ -55,6 +55,18 @@ def passing_folder(spark: SparkSession) -> str:
     return folder
 
 
+def passing_table(spark: SparkSession) -> tuple[str, str]:
+    """Name and path of a new table of the catalog; both go when this process ends."""
+    name, path = f"cestero_{uuid.uuid4().hex}", passing_folder(spark)
+
+    def drop() -> None:
+        if not spark._jsc.sc().isStopped():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    atexit.register(drop)
+    return name, path
+
+
 def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and go on from what was written.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cestero.sinks.shared import path_exists, remove_folder
 from cestero.sources import checked
+from cestero.sources.buckets import BUCKETS, write_customer_days
 from cestero.sources.delimited import DelimitedSource
 
 # Fixed value: the receipt files that a load takes, one per store.
@@ -55,12 +56,15 @@ def ingest(
     pattern: str = RECEIPT_FILES,
     id_type: str = "int",
     quarantine: bool = False,
+    customer_days: str | None = None,
+    buckets: int = BUCKETS,
 ) -> dict[str, str]:
     """Load the three inputs below ``data_dir`` in place of what ``target`` has.
 
     Returns the path of each table. With ``quarantine`` rows that do not fit their
     columns stay out of the tables and go to one beside each (``read_quarantine``);
-    the files are read once more only if there are any.
+    the files are read once more only if there are any. ``customer_days`` names a
+    table of the catalog to fill with the purchase days, bucketed by customer.
     """
     source = DelimitedSource(spark, data_dir, sep=sep, pattern=pattern, id_type=id_type)
     paths = {name: f"{target.rstrip('/')}/{name}" for name in TABLES}
@@ -70,6 +74,10 @@ def ingest(
             _without_rejected(name, flagged, path, f"{target.rstrip('/')}/quarantine/{name}")
         else:
             _write(name, getattr(source, name)(), path)
+    if customer_days:
+        tx = read_ingested(spark, target, id_type)
+        paths["customer_days"] = f"{target.rstrip('/')}/customer_days"
+        write_customer_days(tx, customer_days, paths["customer_days"], buckets)
     return paths
 
 
