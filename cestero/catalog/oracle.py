@@ -69,6 +69,16 @@ _STORE_GAPS = """
     PARTITION BY store_id, customer_id ORDER BY transaction_date), transaction_date) AS days_between
   FROM tx QUALIFY days_between IS NOT NULL"""
 
+# Itemsets of each store, whose names are made again, as a store may have sets that all have not.
+_STORE_SETS = """
+store_mask AS (SELECT store_id, m FROM bmask JOIN tx ON l_orderkey = transaction_id),
+store_size AS (SELECT store_id, count(*) AS n FROM store_mask GROUP BY 1),
+store_sets AS (
+  SELECT store_id, i, count(*) AS freq FROM store_mask, (SELECT unnest(range(1, 64)) AS i) s WHERE (m & i) = i
+  GROUP BY 1, 2 HAVING count(*) >= ceil(0.01 * (SELECT n FROM store_size z WHERE z.store_id = store_mask.store_id))),
+names AS (SELECT i, string_agg(t, ',' ORDER BY t) AS items
+          FROM (SELECT unnest(range(1, 64)) AS i) JOIN bits ON (i & b) <> 0 GROUP BY 1)"""
+
 STATEMENTS = {
     "available_stores": """
 SELECT DISTINCT store_id FROM tx
@@ -377,6 +387,19 @@ FROM (
     "order_value_deciles": """
 SELECT o_orderkey, o_totalprice, CAST(ntile(10) OVER (ORDER BY o_totalprice, o_orderkey) AS INTEGER) AS decile
 FROM orders
+""",
+    "frequent_itemsets_per_store": f"""
+SELECT * FROM (WITH {_STORE_SETS}
+SELECT store_id, items, freq, n AS n_baskets FROM store_sets JOIN store_size USING (store_id) JOIN names USING (i))
+""",
+    "association_rules_per_store": f"""
+SELECT * FROM (WITH {_STORE_SETS}
+SELECT w.store_id, na.items AS antecedent, t AS consequent, round(w.freq / a.freq, 6) AS confidence,
+  round((w.freq / a.freq) / (c.freq / n), 6) AS lift, round(w.freq / n, 6) AS support
+FROM store_sets w JOIN store_size s ON s.store_id = w.store_id JOIN bits ON (w.i & b) <> 0
+JOIN store_sets a ON a.i = w.i - b AND a.store_id = w.store_id
+JOIN store_sets c ON c.i = b AND c.store_id = w.store_id
+JOIN names na ON na.i = a.i WHERE w.freq / a.freq >= 0.3)
 """,
     "daily_visitors": """
 SELECT transaction_date AS date, count(*) AS num_transacciones, count(DISTINCT customer_id) AS clientes_unicos

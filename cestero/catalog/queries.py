@@ -689,6 +689,22 @@ def association_rules_by_bitmaps(spark, sf_dir):
     return _flat_rules(_mined_by_bitmaps(spark, sf_dir)[1])
 
 
+def _mined_per_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = tables.type_baskets(spark, sf_dir, store=True)
+    return vertical.mine_itemsets_by(sets, STORE)[0]
+
+
+@query
+def frequent_itemsets_per_store(spark, sf_dir):
+    return joined(_mined_per_store(spark, sf_dir), "items")
+
+
+@query
+def association_rules_per_store(spark, sf_dir):
+    sets = _mined_per_store(spark, sf_dir)
+    return _flat_rules(mining.association_rules(sets, F.col("n_baskets"), by=STORE))
+
+
 @query
 def top_itemsets(spark, sf_dir):
     return mining.top_itemsets(joined(_mined(spark, sf_dir)[0], "items"))

@@ -93,13 +93,16 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def type_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The set of product types in each order that has lines."""
+def type_baskets(spark: SparkSession, sf_dir: str, store: bool = False) -> DataFrame:
+    """The set of product types in each order that has lines, with its store if asked for."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    return (
+    sets = (
         table(spark, sf_dir, "lineitem")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")
         .agg(F.collect_set("p_type").alias("items"))
-        .select("items")
     )
+    if not store:
+        return sets.select("items")
+    stores = transactions(spark, sf_dir, products=False).select("transaction_id", "store_id")
+    return sets.join(stores, F.col("l_orderkey") == F.col("transaction_id")).select("store_id", "items")

@@ -7,7 +7,7 @@ stored itemsets, without a new search.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -100,42 +100,50 @@ def mine_itemsets(
 
 
 def association_rules(
-    itemsets: DataFrame, n_baskets: int | Column, min_confidence: float = MIN_CONFIDENCE
+    itemsets: DataFrame,
+    n_baskets: int | Column,
+    min_confidence: float = MIN_CONFIDENCE,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Rules with a single consequent, from frequent itemsets.
 
     Taking one item out of an itemset leaves the antecedent, which is frequent
-    too, so both sides of a rule are found among the itemsets.
+    too, so both sides of a rule are found among the itemsets. With ``by`` these
+    are of each store, say, and ``n_baskets`` is a column of theirs.
     """
-    item = F.explode("items").alias("item")
+    # In a struct, NULL is equal to NULL.
+    own = [F.struct(*by).alias("of")] if by else []
+    of = ["of"] if by else []
+    n = n_baskets if isinstance(n_baskets, Column) else F.lit(n_baskets)
     candidates = (
         itemsets.where(F.size("items") > 1)
-        .select("items", F.col("freq").alias("both"), item)
+        .select(*own, "items", F.col("freq").alias("both"), n.alias("n"), F.explode("items").alias("item"))
         .select(
-            F.array_except("items", F.array("item")).alias("antecedent"),
+            *of,
+            F.sort_array(F.array_except("items", F.array("item"))).alias("antecedent"),
             F.array("item").alias("consequent"),
             "both",
+            "n",
         )
     )
     left = itemsets.select(
-        F.sort_array("items").alias("antecedent"), F.col("freq").alias("freq_antecedent")
+        *own, F.sort_array("items").alias("antecedent"), F.col("freq").alias("freq_antecedent")
     )
     right = itemsets.where(F.size("items") == 1).select(
-        F.col("items").alias("consequent"), F.col("freq").alias("freq_consequent")
+        *own, F.col("items").alias("consequent"), F.col("freq").alias("freq_consequent")
     )
-    n = n_baskets if isinstance(n_baskets, Column) else F.lit(n_baskets)
     confidence = F.col("both") / F.col("freq_antecedent")
     return (
-        candidates.withColumn("antecedent", F.sort_array("antecedent"))
-        .join(left, "antecedent")
+        candidates.join(left, [*of, "antecedent"])
         .where(confidence >= min_confidence)
-        .join(right, "consequent")
+        .join(right, [*of, "consequent"])
         .select(
+            *(F.col("of")[c].alias(c) for c in by),
             "antecedent",
             "consequent",
             confidence.alias("confidence"),
-            (confidence / (F.col("freq_consequent") / n)).alias("lift"),
-            (F.col("both") / n).alias("support"),
+            (confidence / (F.col("freq_consequent") / F.col("n"))).alias("lift"),
+            (F.col("both") / F.col("n")).alias("support"),
         )
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cestero.operators import mining, vertical
 from cestero.operators.numbering import numbered
 from cestero.plans.summaries import market_basket
+from cestero.sinks.shared import stage_table
 
 
 def by_items(itemsets):
@@ -44,22 +45,59 @@ def test_the_itemsets_of_fp_growth(skewed, share_bytes):
     assert ("all", "early a", "early b") in want and max(map(len, want)) >= 5
 
 
-def test_shares_deal_all_segments_and_their_thresholds_suffice():
-    for n in (1, 32_768, 32_769, 1_000_000, 12_345_678):
-        for items, bytes_ in ((1, 1 << 25), (700, 1 << 23), (50_000, 1)):
-            shares = vertical.Shares(n, items, max(1, n // 70), bytes_)
-            bounds = [shares.bounds(k) for k in range(shares.count)]
-            assert bounds[0][0] == 0 and bounds[-1][1] == shares.segments
-            assert all(a[1] == b[0] and a[0] < a[1] for a, b in zip(bounds, bounds[1:] + [(bounds[-1][1], 0)]))
-            # With one less in every share an itemset would miss the overall threshold.
-            assert sum(shares.threshold(k) - 1 for k in range(shares.count)) < shares.least
+def test_shares_deal_all_segments_and_their_thresholds_suffice(spark):
+    rows = [
+        (n, max(1, n // 70), items)
+        for n in (1, 32_768, 32_769, 1_000_000, 12_345_678)
+        for items in (0, 1, 700, 50_000)
+    ]
+    groups = spark.createDataFrame(rows, "n bigint, least bigint, n_items bigint")
+    for share_bytes in (1 << 25, 1 << 23, 1):
+        dealt = vertical.dealt(groups, share_bytes, 8)
+        segments = dealt.select("*", F.explode(F.expr("sequence(0L, segments - 1)")).alias("segment"))
+        shares = vertical.of_shares(segments)
+        assert shares.where("NOT (first <= segment AND segment < end AND local <= most)").isEmpty()
+        per_share = shares.groupBy("n", "n_items", "least", "segments", "shares", "share", "first", "end", "local").count()
+        assert per_share.where(F.col("count") != F.col("end") - F.col("first")).isEmpty()
+        per_group = per_share.groupBy("n", "n_items", "least", "segments", "shares").agg(
+            F.sum("count").alias("found"), F.count("*").alias("used"), F.sum(F.col("local") - 1).alias("unseen")
+        )
+        # With one less in every share an itemset misses the overall threshold.
+        bad = "found <> segments OR used <> shares OR unseen >= least"
+        assert per_group.count() == len(rows) and per_group.where(bad).isEmpty()
 
 
-def test_a_segment_s_share_is_the_one_whose_bounds_hold_it(spark):
-    shares = vertical.Shares(1_000_000, 900, 1000, 1 << 24)
-    rows = spark.range(shares.segments).select("id", shares.of(F.col("id")).alias("share")).collect()
-    assert shares.count > 3
-    assert all(shares.bounds(r.share)[0] <= r.id < shares.bounds(r.share)[1] for r in rows)
+@pytest.mark.parametrize("share_bytes", [vertical.SHARE_BYTES, 1])
+def test_the_itemsets_of_each_store(skewed, share_bytes):
+    """One store has most of the baskets, others few, one no name; thresholds are their own."""
+    store = F.when(F.col("h") % 10 < 7, 1).when(F.col("h") % 10 == 8, None).otherwise(F.col("h") % 90)
+    spread = skewed.withColumn("h", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1000)))
+    baskets = stage_table(spread.select(store.cast("int").alias("store_id"), "items"))
+    got, sizes = vertical.mine_itemsets_by(baskets, ["store_id"], 0.03, share_bytes=share_bytes)
+    assert got.columns == ["store_id", "items", "freq", "n_baskets"]
+    found, rows = {}, got.collect()
+    for r in rows:
+        found.setdefault((r.store_id, r.n_baskets), {})[tuple(r["items"])] = r.freq
+    assert sum(map(len, found.values())) == len(rows)
+    assert {(r.store_id, r.n_baskets) for r in sizes.collect()} == set(found) and len(found) == 20
+    for (store_id, n), itemsets in list(found.items())[:6]:
+        own = baskets.where(F.col("store_id").eqNullSafe(F.lit(store_id)))
+        want = mining.mine_itemsets(own, 0.03)
+        assert want.n_baskets == n and by_items(want.itemsets) == itemsets
+
+
+def test_rules_of_each_store(spark):
+    rows = [(1, ["a", "b"])] * 3 + [(1, ["a"])] + [(None, ["a", "b"])] + [(None, ["b"])] * 3 + [(2, ["c"])]
+    baskets = spark.createDataFrame(rows, "store_id int, items array<string>")
+    itemsets, _ = vertical.mine_itemsets_by(baskets, ["store_id"], 0.2)
+    rules = mining.association_rules(itemsets, F.col("n_baskets"), 0.5, by=["store_id"])
+    assert {
+        (r.store_id, *r.antecedent, *r.consequent): (r.confidence, r.lift, r.support) for r in rules.collect()
+    } == {
+        (1, "a", "b"): (0.75, 1.0, 0.75),
+        (1, "b", "a"): (1.0, 1.0, 0.75),
+        (None, "a", "b"): (1.0, 1.0, 0.25),
+    }
 
 
 def test_extensions_against_counting():
