@@ -16,13 +16,14 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cestero.functions import basket_units
 from cestero.operators.baskets import explode_transactions, require_stores
 from cestero.operators.mining import MIN_CONFIDENCE, MIN_SUPPORT
 from cestero.operators.products import store_product_sales
 from cestero.operators.quality import in_hash_order, sample_transactions
-from cestero.operators.summary import basic_metrics
 from cestero.operators.temporal import daily_sales
 from cestero.plans.summaries import (
     customer_summary,
@@ -32,6 +33,7 @@ from cestero.plans.summaries import (
     temporal_summary,
     units_per_product,
 )
+from cestero.sinks.observed import stage_observed
 from cestero.sinks.reports import Reports
 from cestero.sinks.shared import stage_table, staging
 from cestero.sources import DelimitedSource
@@ -77,16 +79,20 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 
 def write_summary(
-    frames: Mapping[str, DataFrame], base: str, top_n: int, dag_id: str, task_id: str
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame],
+    totals: Mapping[str, int],
+    base: str,
+    top_n: int,
+    dag_id: str,
+    task_id: str,
 ) -> None:
-    """Write each result once, and the metadata with the totals."""
+    """Write each result once, the totals, and the metadata with them."""
     reports = Reports(base)
-    metrics = frames["basic_metrics"]
-    reports.summary_metrics(metrics, "basic_metrics.json")
+    reports.document(totals, "basic_metrics.json", spark)
     for name, frame in RANKINGS.items():
         reports.top_items(frames[frame], name, top_n)
-    info = {total: metrics.select(total).scalar() for total in metrics.columns}
-    reports.run_metadata(metrics.sparkSession, dag_id, task_id, {**info, "status": "success"})
+    reports.run_metadata(spark, dag_id, task_id, {**totals, "status": "success"})
 
 
 def run(
@@ -100,8 +106,18 @@ def run(
     the two narrow columns that several results share are stored."""
     with staging(source.spark) as stage:
         receipts = source.transactions()
-        tx = stage(receipts.select("transaction_date", "customer_id"))
-        product_counts = stage(units_per_product(receipts, source.id_type))
+        # The totals are taken on the way to the two tables.
+        tx, receipts_seen = stage_observed(
+            receipts.select("transaction_date", "customer_id"),
+            stage,
+            total_transactions=F.count(F.lit(1)),
+        )
+        product_counts, units_seen = stage_observed(
+            units_per_product(receipts, source.id_type),
+            stage,
+            total_sales_units=F.sum("total_sold"),
+        )
+        totals = {**receipts_seen, **units_seen}
         frames = executive_summary(
             tx,
             source.product_categories(),
@@ -109,9 +125,8 @@ def run(
             top_n,
             product_counts=product_counts,
         )
-        # One row, needed by two of the reports.
-        frames["basic_metrics"] = stage(frames["basic_metrics"])
-        write_summary(frames, output, top_n, dag_id, task_id)
+        del frames["basic_metrics"]
+        write_summary(source.spark, frames, totals, output, top_n, dag_id, task_id)
 
 
 def run_sample(source: DelimitedSource, output: str, max_records: int = SAMPLE_SIZE) -> None:
@@ -123,12 +138,15 @@ def run_sample(source: DelimitedSource, output: str, max_records: int = SAMPLE_S
     with staging(source.spark) as stage:
         tx = source.transactions()
         # Stored, so that all reports are about the same receipts.
-        sample = stage(sample_transactions(tx, max_records, order_by=in_hash_order(tx)))
+        sample, totals = stage_observed(
+            sample_transactions(tx, max_records, order_by=in_hash_order(tx)),
+            stage,
+            total_transactions=F.count(F.lit(1)),
+            total_sales_units=F.sum(basket_units()),
+        )
         reports = Reports(output)
         reports.time_series(daily_sales(sample), "sample_summary", "date", "num_transacciones")
-        metrics = basic_metrics(sample)
-        info = {total: metrics.select(total).scalar() for total in metrics.columns}
-        info |= {"max_records": max_records, "status": "success"}
+        info = {**totals, "max_records": max_records, "status": "success"}
         reports.run_metadata(source.spark, *SAMPLE_RUN, info)
 
 

@@ -92,6 +92,12 @@ class Reports:
         json_records(metrics, keep_nulls=True).coalesce(1).write.mode("overwrite").text(path)
         return path
 
+    def document(self, attrs: Mapping, filename: str, spark: SparkSession) -> str:
+        """Single values, known already, as one document."""
+        path = self._at(SUMMARY, filename)
+        write_document(spark, path, attrs)
+        return path
+
     def top_items(self, df: DataFrame, item_type: str, top_n: int = 10) -> str:
         path = self._at(SUMMARY, f"top_{top_n}_{item_type}.json")
         write_envelope(df, path, top_n, {"type": item_type, "top_n": top_n})

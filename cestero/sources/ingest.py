@@ -40,7 +40,7 @@ def _without_rejected(name: str, flagged: DataFrame, path: str, quarantine: str)
     seen = Observation(f"rejected {name} {uuid.uuid4().hex}")
     count = F.count_if(checked.is_rejected()).alias("rejected")
     _write(name, checked.accepted(flagged.observe(seen, count)), path)
-    found = seen.get["rejected"]
+    found = (seen.get or {}).get("rejected", 0)
     if found:
         checked.rejected(flagged).write.mode("overwrite").parquet(quarantine)
     elif path_exists(spark, quarantine):

@@ -143,3 +143,30 @@ def test_sample_job(spark, tmp_path):
     assert sum(day["num_transacciones"] for day in daily) == 40
     [metadata] = documents(out / "metadata/02_sample_summary_sample.json")
     assert (metadata["total_transactions"], metadata["total_sales_units"]) == (40, 80)
+
+
+@pytest.mark.parametrize("lines", [0, 60])
+def test_totals_come_with_the_writes(spark, tmp_path, lines):
+    """The summary took 21 jobs and the sample 10 when totals were queried for; also for no receipts."""
+    base = tmp_path / "in"
+    (base / "transactions").mkdir(parents=True)
+    (base / "products").mkdir()
+    text = "".join(f"2024-01-{1 + i % 28:02d}|1|{i}|1 2\n" for i in range(lines))
+    (base / "transactions/1_Tran.csv").write_text(text)
+    (base / "products/Categories.csv").write_text("1|A\n")
+    (base / "products/ProductCategory.csv").write_text("p|c\n1|1\n2|1\n")
+    source = job.DelimitedSource(spark, str(base))
+    counts = {}
+    for name, run in (("sample", job.run_sample), ("summary", job.run)):
+        group = f"{name} {lines}"
+        spark.sparkContext.setJobGroup(group, "")
+        run(source, str(tmp_path / name))
+        counts[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    [metadata] = documents(tmp_path / "summary/metadata/01_executive_summary_generate_executive_summary.json")
+    [metrics] = documents(tmp_path / "summary/summary/basic_metrics.json")
+    [sample] = documents(tmp_path / "sample/metadata/02_sample_summary_sample.json")
+    totals = {"total_transactions": lines, "total_sales_units": 2 * lines}
+    assert metrics == totals
+    assert totals.items() <= metadata.items() and totals.items() <= sample.items()
+    assert counts["sample"] < 10 and counts["summary"] < 21
