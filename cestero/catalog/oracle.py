@@ -443,6 +443,7 @@ SAME_ROWS = {
     "purchase_frequency_bucketed": "purchase_frequency",
     "rfm_segmentation_bucketed": "rfm_segmentation",
     "executive_summary_job": "executive_summary",
+    "executive_summary_one_scan": "executive_summary",
     "rules_roundtrip": "association_rules",
     "rules_csv_roundtrip": "association_rules",
     "report_recommendations": "association_rules",

@@ -248,6 +248,17 @@ def executive_summary(spark, sf_dir):
     )
 
 
+@query
+def executive_summary_one_scan(spark, sf_dir):
+    counts = stage_table(summary.headline_counts(receipts_with_baskets(spark, sf_dir), ID_TYPE))
+    return summaries.one_scan_summary_rows(
+        counts,
+        tables.product_categories(spark, sf_dir),
+        tables.categories(spark, sf_dir),
+        id_type=ID_TYPE,
+    )
+
+
 @query
 def executive_summary_job(spark, sf_dir):
     """The batch job from delimited files to reports, read back as rows."""

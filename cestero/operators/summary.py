@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cestero.functions import basket_units, day, top
+from cestero.functions import basket_tokens, basket_units, day, top
 
 
 def basic_metrics(tx: DataFrame) -> DataFrame:
@@ -78,3 +78,35 @@ def top_categories(
         count_by(ex, "product_id", "total_sold"), product_categories, categories
     )
     return top(volumes, n, "total_volume", "category_id", "category_name")
+
+
+def headline_counts(
+    tx: DataFrame, id_type: str = "int", date_column: str = "transaction_date"
+) -> DataFrame:
+    """``kind, id, n``: receipts per customer and per day, and units per product.
+
+    All that the summary counts, from one pass over the receipts: each one gives an
+    entry for its customer, one for its day and one for each token, and entries
+    are counted by one aggregation that combines before it shuffles. A day's id is
+    its number; what has no id (NULL) is counted too.
+    """
+
+    def entry(kind: str, number: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), number.cast("bigint").alias("id"))
+
+    receipt = F.array(
+        entry("customer", F.col("customer_id")), entry("day", F.unix_date(day(date_column)))
+    )
+    units = F.transform(basket_tokens(), lambda token: entry("product", token.try_cast(id_type)))
+    entries = F.concat(receipt, F.coalesce(units, F.slice(receipt, 1, 0)))
+    return tx.select(F.inline(entries)).groupBy("kind", "id").agg(F.count("*").alias("n"))
+
+
+def counts_of(
+    counts: DataFrame, kind: str, name: str, measure: str, id_type: str = "bigint"
+) -> DataFrame:
+    """One kind of ``headline_counts`` (``customer``, ``day`` or ``product``) under names of its own."""
+    number = F.date_from_unix_date("id") if kind == "day" else F.col("id").cast(id_type)
+    return counts.where(F.col("kind") == kind).select(
+        number.alias(name), F.col("n").alias(measure)
+    )

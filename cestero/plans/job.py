@@ -15,7 +15,7 @@ import os
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,14 +24,14 @@ from cestero.operators.baskets import explode_transactions, require_stores
 from cestero.operators.mining import MIN_CONFIDENCE, MIN_SUPPORT
 from cestero.operators.products import store_product_sales
 from cestero.operators.quality import in_hash_order, sample_transactions
+from cestero.operators.summary import headline_counts
 from cestero.operators.temporal import daily_sales
 from cestero.plans.summaries import (
     customer_summary,
-    executive_summary,
+    executive_summary_of,
     product_summary,
     store_summaries,
     temporal_summary,
-    units_per_product,
 )
 from cestero.sinks.observed import stage_observed
 from cestero.sinks.reports import Reports
@@ -102,28 +102,21 @@ def run(
     dag_id: str = SUMMARY_RUN[0],
     task_id: str = SUMMARY_RUN[1],
 ) -> None:
-    """Basket texts are read once, where they lie, for the units per product; only
-    the two narrow columns that several results share are stored."""
+    """Receipts are read once, for counts per customer, day and product; the totals
+    are taken on the way."""
     with staging(source.spark) as stage:
-        receipts = source.transactions()
-        # The totals are taken on the way to the two tables.
-        tx, receipts_seen = stage_observed(
-            receipts.select("transaction_date", "customer_id"),
-            stage,
-            total_transactions=F.count(F.lit(1)),
-        )
-        product_counts, units_seen = stage_observed(
-            units_per_product(receipts, source.id_type),
+
+        def of(kind: str) -> Column:
+            return F.sum(F.when(F.col("kind") == kind, F.col("n")))
+
+        counts, totals = stage_observed(
+            headline_counts(source.transactions(), source.id_type),
             stage,
-            total_sales_units=F.sum("total_sold"),
+            total_transactions=of("day"),
+            total_sales_units=of("product"),
         )
-        totals = {**receipts_seen, **units_seen}
-        frames = executive_summary(
-            tx,
-            source.product_categories(),
-            source.categories(),
-            top_n,
-            product_counts=product_counts,
+        frames = executive_summary_of(
+            counts, source.product_categories(), source.categories(), top_n, source.id_type
         )
         del frames["basic_metrics"]
         write_summary(source.spark, frames, totals, output, top_n, dag_id, task_id)

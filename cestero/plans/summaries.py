@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cestero.functions import top
@@ -44,6 +44,39 @@ def executive_summary(
     }
 
 
+def executive_summary_of(
+    counts: DataFrame,
+    product_categories: DataFrame,
+    categories: DataFrame,
+    top_n: int = 10,
+    id_type: str = "int",
+) -> dict[str, DataFrame]:
+    """``executive_summary`` from stored ``summary.headline_counts``: receipts are read once for all of it."""
+
+    def of(kind: str, name: str, measure: str) -> DataFrame:
+        return summary.counts_of(counts, kind, name, measure, id_type)
+
+    units = of("product", "product_id", "total_sold")
+    volumes = summary.category_volumes(units, product_categories, categories)
+    n = F.col("n")
+
+    def total(kind: str, name: str) -> Column:
+        found = F.sum(F.when(F.col("kind") == kind, n))
+        return F.coalesce(found, F.lit(0).cast("bigint")).alias(name)
+
+    return {
+        "basic_metrics": counts.agg(
+            total("day", "total_transactions"), total("product", "total_sales_units")
+        ),
+        "top_products": top(units, top_n, "total_sold", "product_id"),
+        "top_customers": top(
+            of("customer", "customer_id", "total_purchases"), top_n, "total_purchases", "customer_id"
+        ),
+        "peak_days": top(of("day", "date", "num_transactions"), top_n, "num_transactions", "date"),
+        "top_categories": top(volumes, top_n, "total_volume", "category_id", "category_name"),
+    }
+
+
 def units_per_product(
     tx: DataFrame, id_type: str = "int", exploded: DataFrame | None = None
 ) -> DataFrame:
@@ -107,6 +140,29 @@ def executive_summary_rows(
     return reduce(DataFrame.unionByName, totals + ranked)
 
 
+def one_scan_summary_rows(
+    counts: DataFrame,
+    product_categories: DataFrame,
+    categories: DataFrame,
+    top_n: int = 10,
+    id_type: str = "int",
+) -> DataFrame:
+    """``executive_summary_rows`` from stored ``summary.headline_counts``."""
+    frames = executive_summary_of(counts, product_categories, categories, top_n, id_type)
+    metrics = frames["basic_metrics"]
+    totals = [
+        metrics.select(
+            F.lit("basic_metrics").alias("section"),
+            F.lit(rank).alias("rank"),
+            F.lit(name).alias("key"),
+            F.col(name).alias("value"),
+        )
+        for rank, name in enumerate(metrics.columns, 1)
+    ]
+    ranked = [_ranked(frames[s.name], s) for s in _RANKINGS]
+    return reduce(DataFrame.unionByName, totals + ranked)
+
+
 def _total_row(counts: DataFrame, measure: str, rank: int, key: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return counts.agg(F.coalesce(F.sum(measure), zero).alias("value")).select(

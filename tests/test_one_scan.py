@@ -1,0 +1,50 @@
+"""The counts of the executive summary from one pass over the receipts."""
+
+from pyspark.sql import functions as F
+
+from cestero.operators import baskets, summary
+from cestero.plans.summaries import executive_summary, executive_summary_of
+from cestero.sources import DelimitedSource
+from plans import executed_plan
+
+ROWS = [
+    ("2024-01-01", 1, 7, "1 2 2"), ("2024-01-01", 1, 7, " 3 "), ("2024-01-02", 2, None, "x  1"),
+    ("never", 2, 8, None), (None, 2, 8, ""), ("2024-01-02", 3, 9, "1"),
+]
+
+
+def listed(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_counts_against_counting_one_by_one(receipts):
+    tx = receipts(ROWS)
+    counts = summary.headline_counts(tx)
+    units = summary.counts_of(counts, "product", "product_id", "total_sold", "int")
+    assert listed(units) == listed(summary.count_by(baskets.explode_transactions(tx), "product_id", "total_sold"))
+    customers = summary.counts_of(counts, "customer", "customer_id", "n", "int")
+    assert listed(customers) == listed(tx.groupBy("customer_id").agg(F.count("*")))
+    days = summary.counts_of(counts, "day", "date", "n")
+    assert listed(days) == listed(tx.groupBy(F.col("transaction_date").try_cast("date")).agg(F.count("*")))
+
+
+def test_the_summary_is_the_same(spark, receipts):
+    bridge = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "product_id int, category_id int")
+    names = spark.createDataFrame([(1, "A")], "category_id int, category_name string")
+    for rows in (ROWS, []):
+        tx = receipts(rows)
+        want = executive_summary(tx, bridge, names)
+        got = executive_summary_of(summary.headline_counts(tx), bridge, names)
+        assert got.keys() == want.keys()
+        for name, frame in want.items():
+            assert got[name].schema.simpleString() == frame.schema.simpleString()
+            assert got[name].collect() == frame.collect(), name
+
+
+def test_receipts_are_scanned_once_and_combined_before_the_shuffle(spark, tmp_path):
+    (tmp_path / "transactions").mkdir()
+    (tmp_path / "transactions/1_Tran.csv").write_text("2024-01-01|1|7|1 2\n")
+    plan = executed_plan(summary.headline_counts(DelimitedSource(spark, str(tmp_path)).transactions()))
+    assert sum("FileScan" in line for line in plan) == 1
+    assert sum("partial_count" in line for line in plan) == 1
+    assert sum("Exchange hashpartitioning" in line for line in plan) == 1
