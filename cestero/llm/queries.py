@@ -65,7 +65,7 @@ def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = shared_folder(spark)
     warc.write_warc(replica, folder)
-    found = warc.in_order(warc.read_warc(spark, folder), "file", "piece", "number")
+    found = warc.in_order(warc.read_warc(spark, folder), *warc.READ_ORDER)
     bad = warc.audit(listed, found).withColumn("bad", F.lit(True))
     return listed.join(bad, "ordinal", "left").select(
         "page_id", "ordinal", "offset", "length", "sha256", F.col("bad").isNull().alias("intact")

@@ -8,7 +8,8 @@ their bounds, scores them through their forward index, and stops at the first
 bound below its k-th score so far.
 
 Components become floor(1024 x). Scores are exact: in doubles while no sum can
-pass 2 ** 53, otherwise in 64-bit integers, in which they have to fit. Vectors of
+pass 2 ** 53, otherwise in 64-bit integers; where these might not hold a score, it
+is an error. Without rows the result is empty. Vectors of
 different lengths are compared as if filled up with zeros. Rows without an id and
 vectors with a null or non-finite component take no part; rows of one id are
 never each other's candidates; repeated candidates are all ranked.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cestero.llm.vectors import RESULT, best, cells, matrix, ranked, usable
@@ -30,7 +31,31 @@ _LEAST = np.iinfo(np.int64).min
 
 
 def whole_terms(vectors: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(vectors * SCALE), -(2.0**62), 2.0**62).astype(np.int64)
+    whole = np.floor(vectors * SCALE)
+    if np.abs(whole).max(initial=0) >= 2.0**63:
+        raise OverflowError("a component does not fit 64 bits")
+    return whole.astype(np.int64)
+
+
+def share_of(vec_id: Column, spread: Column, limits: list[float]) -> Column:
+    """Number of a row's share: how many of the sorted ``limits`` its id has reached.
+
+    Where two limits are one id, its rows go where ``spread`` says. One look-up a
+    row, however many shares there are.
+    """
+    cuts = np.array(limits)
+    crowded = np.unique(cuts[1:][cuts[1:] == cuts[:-1]])
+
+    @F.pandas_udf("int")
+    def found(ids: pd.Series, spreads: pd.Series) -> pd.Series:
+        share = np.searchsorted(cuts, ids.to_numpy(), side="right")
+        return pd.Series(np.where(np.isin(ids.to_numpy(), crowded), spreads.to_numpy(), share).astype(np.int32))
+
+    return found(vec_id, spread)
+
+
+def _longest(terms: np.ndarray) -> float:
+    return float(np.sqrt((terms.astype(float) ** 2).sum(axis=1)).max(initial=0)) * (1 + 1e-9)
 
 
 def search_share(ids: np.ndarray, terms: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
@@ -40,6 +65,10 @@ def search_share(ids: np.ndarray, terms: np.ndarray, query_ids: np.ndarray, quer
     starts = np.arange(0, len(ids), BLOCK)
     high = np.maximum.reduceat(terms, starts).astype(float)
     low = np.minimum.reduceat(terms, starts).astype(float)
+    # No score is above the product of the lengths.
+    top = _longest(terms) * _longest(queries)
+    if top >= 2.0**63:
+        raise OverflowError("a score may not fit 64 bits")
     top = float(np.abs(terms).max(initial=0)) * float(np.abs(queries).max(initial=0)) * terms.shape[1]
     kind = np.float64 if top < 2.0**53 else np.int64
     terms, queries = terms.astype(kind), queries.astype(kind)
@@ -82,13 +111,12 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     rows = vectors.count()
     shares = max(1, -(-rows // SHARE))
     # Shares are ranges of ids; equal ids, however many, spread over the shares by their vectors.
-    limits = vectors.approxQuantile("vec_id", [i / shares for i in range(1, shares)], 1e-3) if shares > 1 else []
+    places = [i / shares for i in range(1, shares)]
     share = F.lit(0)
-    spread = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shares)).cast("int")
-    if limits:
-        crowded = [a for a, b in zip(limits, limits[1:]) if a == b]
-        share = sum((F.col("vec_id") >= limit).cast("int") for limit in limits)
-        share = F.when(F.col("vec_id").isin(crowded), spread).otherwise(share)
+    if places:
+        limits = vectors.approxQuantile("vec_id", places, min(1e-3, 0.1 / shares))
+        spread = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shares)).cast("int")
+        share = share_of(F.col("vec_id"), spread, limits)
     left, right = cells(vectors, usable(queries), share, shares, GROUP)
 
     def search(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:

@@ -34,6 +34,8 @@ FAN = 16
 #: Records of one file, at most.
 RECORDS = 4096
 END = "\r\n\r\n"
+#: Compressed bytes that are read at a time.
+_PIECE = 1 << 12
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -82,37 +84,80 @@ def parsed(raw: bytes) -> Iterator[tuple[int, int]]:
     at, end = 0, END.encode()
     while at < len(raw):
         head = raw.find(end, at)
-        length = re.search(rb"\r\nContent-Length: (\d+)", raw[at : max(head, at)]) if head >= 0 else None
+        length = None
+        if head >= 0:
+            length = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", raw[at:head])
         size = head + 4 + int(length[1]) - at if length else len(raw) - at
         size = min(size, len(raw) - at)
         yield at, size
         at += size + len(end)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``file, piece, number, length, sha256`` of the records below ``path``, in the order of the first three."""
+def members(content: bytes) -> Iterator[bytes]:
+    """What each gzip member of a file holds, or the file itself if it is not compressed.
+
+    Of a damaged or cut member that is what comes before the damage; what follows
+    it cannot be found and is left out, which an audit then tells.
+    """
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    while content[:2] == b"\x1f\x8b":
+        reader, parts, at = zlib.decompressobj(31), [], 0
+        try:
+            while at < len(content) and not reader.eof:
+                parts.append(reader.decompress(content[at : at + _PIECE]))
+                at += _PIECE
+        except zlib.error:
+            yield b"".join(parts)
+            return
+        yield b"".join(parts)
+        content = reader.unused_data + content[at:] if reader.eof else b""
+
+
+def records_of(content: bytes) -> Iterator[tuple[int, str]]:
+    """Length and SHA-256 of a file's records, which members may divide anywhere between them."""
+    for raw in members(content):
+        for at, size in parsed(raw):
+            yield size, hashlib.sha256(raw[at : at + size]).hexdigest()
+
+
+def read_warc(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+    """``file, piece, name, number, length, sha256`` of the records below ``path``, in the order of
+    the first four.
+
+    Files that Spark wrote are in the order of their parts, others in that of their
+    names. A damaged file has the records before the damage.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                raw = zlib.decompress(content, 47)
-                found = re.search(r"part-(\d+)\b.*?(?:-c(\d+))?\.", name.rpartition("/")[2])
-                rows = [(n, hashlib.sha256(raw[a : a + n]).hexdigest()) for a, n in parsed(raw)]
+            for path, content in zip(batch["path"], batch["content"]):
+                name = path.rpartition("/")[2]
+                found = re.match(r"part-(\d+)\b.*?(?:-c(\d+))?\.", name)
+                rows = list(records_of(content))
+                if not rows:
+                    continue
                 yield pd.DataFrame(
                     {
-                        "file": int(found[1]),
-                        "piece": int(found[2] or 0),
+                        "file": int(found[1]) if found else 0,
+                        "piece": int(found[2] or 0) if found else 0,
+                        "name": name,
                         "number": np.arange(len(rows)),
                         "length": [n for n, _ in rows],
                         "sha256": [h for _, h in rows],
                     }
                 )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    schema = "file long, piece long, number long, length long, sha256 string"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    schema = "file long, piece long, name string, number long, length long, sha256 string"
     return files.select("path", "content").mapInPandas(read, schema)
 
 
+#: The order of the records that ``read_warc`` reads.
+READ_ORDER = ("file", "piece", "name", "number")
+
+
 def in_order(rows: DataFrame, *by: str) -> DataFrame:
     """``rows``, which have ``length``, with ``ordinal, offset`` in the order of ``by``.
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cestero.llm import hash_forest, queries, topk
 
@@ -122,3 +123,43 @@ def test_sums_beyond_doubles_are_exact():
     ids, big = np.arange(3), np.array([[2**30, 1], [2**30, 3], [2**30, 2]], np.int64)
     q, score, found, _ = topk.search_share(ids, big, ids[:1], big[:1], 10)
     assert found.tolist() == [1, 2] and score.tolist() == [2**60 + 3, 2**60 + 2]
+
+
+def test_scores_that_may_not_fit_are_an_error():
+    ids = np.arange(2)
+    with pytest.raises(OverflowError):
+        topk.whole_terms(np.array([[1e18]]))
+    big = np.array([[2**40, 0], [2**40, 1]], np.int64)
+    with pytest.raises(OverflowError):
+        topk.search_share(ids, big, ids[:1], big[:1], 10)
+    # Long vectors whose products fit, although the largest components' would not.
+    apart = np.array([[2**31, 0, 0, 0], [5, 2**31, 0, 0], [1, 2, 3, 2**31]], np.int64)
+    _, score, found, _ = topk.search_share(np.arange(3), apart, ids[:1], apart[:1], 10)
+    assert found.tolist() == [1, 2] and score.tolist() == [5 * 2**31, 2**31]
+
+
+def test_thousands_of_shares_are_planned_and_looked_up(spark):
+    rows = spark.range(20_000).select((F.col("id") * 3 % 10_007).alias("vec_id"))
+    limits = [float(v) for v in range(2, 10_002, 2)]
+    limits[3:6] = [limits[3]] * 3
+    spread = F.lit(77)
+    got = rows.select("vec_id", topk.share_of(F.col("vec_id"), spread, limits).alias("share")).collect()
+    for r in got:
+        want = 77 if r.vec_id == limits[3] else sum(limit <= r.vec_id for limit in limits)
+        assert r.share == want
+
+
+def test_searches_over_many_shares(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARE", 40)
+    rnd = np.random.default_rng(2)
+    vectors = np.round(rnd.normal(size=(300, 6)), 2)
+    ids = np.concatenate((np.full(120, 7), rnd.permutation(180) + 20))
+    table = spark.createDataFrame(
+        [(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>"
+    )
+    terms = np.floor(vectors * 1024)
+    got = topk.top_k(table, table.where("vec_id % 50 = 0"), 5).collect()
+    for q in (50, 100, 150):
+        score = terms @ terms[ids == q][0]
+        want = sorted((-s, i) for s, i in zip(score.tolist(), ids.tolist()) if i != q)[:5]
+        assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == want
