@@ -427,33 +427,51 @@ def _merged(packed: np.ndarray | None, size: int) -> tuple[np.ndarray, np.ndarra
     return start[new], stop[np.append(np.flatnonzero(new)[1:] - 1, len(stop) - 1)]
 
 
+def _cut(raw: bytes, packed: np.ndarray | None) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """What remains of a text, and starts and stops of what went."""
+    start, stop = _merged(packed, len(raw))
+    edges = [0, *np.stack((start, stop), 1).ravel().tolist(), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])), start, stop
+
+
 def remaining(text: Column, packed: Column) -> Column:
     """``kept`` bytes, and ``spans`` (start << 32 | stop) that were removed."""
 
     @F.pandas_udf("kept binary, spans array<long>")
     def cut(texts: pd.Series, stretches: pd.Series) -> pd.DataFrame:
-        kept, spans = [], []
-        for text, packed in zip(texts, stretches):
-            raw = text.encode()
-            start, stop = _merged(packed, len(raw))
-            edges = [0, *np.stack((start, stop), 1).ravel().tolist(), len(raw)]
-            kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            spans.append(start << 32 | stop)
-        return pd.DataFrame({"kept": kept, "spans": spans})
+        found = [_cut(text.encode(), packed) for text, packed in zip(texts, stretches)]
+        spans = [start << 32 | stop for _, start, stop in found]
+        return pd.DataFrame({"kept": [kept for kept, _, _ in found], "spans": spans})
+
+    return cut(text, packed)
+
+
+def remaining_text(text: Column, packed: Column) -> Column:
+    """What remains, as text."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, stretches: pd.Series) -> pd.Series:
+        rows = zip(texts, stretches)
+        return pd.Series([_cut(text.encode(), packed)[0].decode("utf-8", "ignore") for text, packed in rows])
 
     return cut(text, packed)
 
 
+def _with_stretches(documents: DataFrame, crowd: int) -> DataFrame:
+    """``row, text`` of ``keyed`` documents, and ``packed``: the stretches to remove."""
+    stretches, source = repeated_stretches(documents, crowd)
+    stretch = F.shiftleft("start", 32).bitwiseOR(F.col("stop"))
+    packed = _renamed(stretches.groupBy(*_NAMES).agg(F.collect_list(stretch).alias("packed")))
+    return source.join(packed, list(_KEY), "left")
+
+
 def remove_repeats(documents: DataFrame, crowd: int = CROWD, into: str = "remains") -> DataFrame:
     """All columns of ``documents`` and a struct ``into``: ``kept`` and ``spans``, which replaces
     a column of that name."""
     own = documents.drop(into)
-    stretches, source = repeated_stretches(own, crowd)
-    stretch = F.shiftleft("start", 32).bitwiseOR(F.col("stop"))
-    packed = _renamed(stretches.groupBy(*_NAMES).agg(F.collect_list(stretch).alias("packed__")))
-    joined = source.join(packed, list(_KEY), "left")
     columns = (F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in own.columns)
-    return joined.select(*columns, remaining(F.col("text"), F.col("packed__")).alias(into))
+    remains = remaining(F.col("text"), F.col("packed")).alias(into)
+    return _with_stretches(own, crowd).select(*columns, remains)
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -461,15 +479,10 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
     A character that was cut through goes altogether.
     """
-
-    @F.pandas_udf("string")
-    def readable(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda raw: raw.decode("utf-8", "ignore"))
-
-    packed = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "text")
-    text = readable(F.col("remains.kept"))
-    changed = {"text": text}
+    text = remaining_text(F.col("text"), F.col("packed"))
+    cut = _with_stretches(documents, CROWD).select("row", text.alias("text"))
+    changed = {"text": F.col("text")}
     if "n_chars" in documents.columns:
-        changed["n_chars"] = F.char_length(text).cast(documents.schema["n_chars"].dataType)
-    columns = (changed.get(c, F.col("row")[c]).alias(c) for c in documents.columns)
-    return remove_repeats(packed).select(*columns)
+        kind = documents.schema["n_chars"].dataType
+        changed["n_chars"] = F.char_length("text").cast(kind)
+    return cut.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in documents.columns))
